@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, line_dedup, packing, quality_classifier, quality_rules, url_filter
+from . import bpe, chat_format, exact_dedup, html_extract, line_dedup, near_dedup, packing, quality_classifier, quality_rules, url_filter
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
@@ -47,11 +47,20 @@ def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"]).select("row.page_id", "row.url", "text", "n_chars")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), carry=["doc_id"]))
     return encoded.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.clusters(table(spark, sf_dir, "documents"), w=3, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"]).select("row.doc_id", "rules.*")
 
@@ -66,7 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_html_extraction": op6_html_extraction,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
