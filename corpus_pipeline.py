@@ -1 +1,54 @@
-run, ORACLE_SQL, STAGES = None, None, []
+"""A corpus from documents to packed training sequences, in five stages.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the
+next one's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from kinforge.llm import exact_dedup, near_dedup, packing, quality_classifier, quality_rules
+from kinforge.llm.staging import stage
+
+
+def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.keep(docs)
+
+
+def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The classifier learns from the labelled documents that have come this far and are not held out."""
+    return quality_classifier.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedupe(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.dedupe(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality rules", keep_by_rules),
+    ("quality classifier", keep_by_classifier),
+    ("exact dedup", drop_exact_copies),
+    ("MinHash near-dedup", drop_near_copies),
+    ("best-fit packing", pack),
+]
+
+#: Hashes, a trained model and a packing plan decide; tests hold the stages against brute force instead.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, function) in enumerate(STAGES):
+        docs = function(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stage(docs, f"pipeline-{k}")
+    return docs
