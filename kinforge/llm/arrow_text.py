@@ -122,20 +122,32 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 class TokenMemory(dict):
-    """Token ids of strings that were met before, by a number each. encode: strings to lists of ids.
+    """Token ids of strings that were met before, by a number each.
 
-    A Python worker keeps one; above ``most`` strings it forgets all and starts anew, so memory is bounded.
+    encode: from a list of new strings to their ids, one string after another, and each one's number of ids. A
+    Python worker keeps one memory; above ``most`` strings it forgets those met least, half of them at least, so
+    its size is bounded.
     """
 
-    def __init__(self, encode: Callable[[list], list], most: int):
+    def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int):
         super().__init__()
         self.encode, self.most = encode, most
-        self._forget()
+        self.new: list = []
+        self.flat = np.zeros(0, np.int32)
+        self.lengths, self.starts, self.met = (np.zeros(0, np.int64) for _ in range(3))
 
     def _forget(self) -> None:
+        least = 2
+        while (self.met >= least).sum() > self.most // 2:
+            least *= 2
+        kept = np.flatnonzero(self.met >= least)
+        flags = (self.met >= least).tolist()
+        words = [w for w, on in zip(self, flags, strict=True) if on]  # a dict keeps its order, so numbers are places
+        self.flat = self.flat[spread(self.starts[kept], self.lengths[kept])]
+        self.lengths, self.met = self.lengths[kept], self.met[kept] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.clear()
-        self.new: list = []
-        self.flat, self.lengths, self.starts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.update(zip(words, range(len(words)), strict=True))
 
     def __missing__(self, word) -> int:
         self[word] = code = len(self)
@@ -143,19 +155,25 @@ class TokenMemory(dict):
         return code
 
     def codes(self, words: list[list]) -> list[np.ndarray]:
-        """The numbers of the strings of each list; ids_of and lengths take them."""
+        """The numbers of the strings of each list; ids_of and lengths take them until the next call."""
         if len(self) > self.most:
             self._forget()
         get = self.__getitem__
         codes = [np.fromiter(map(get, w), np.int64, len(w)) for w in words]
         if self.new:
-            encoded = self.encode(self.new)
-            self.new = []
-            self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, encoded), np.int64, len(encoded))])
-            parts = encoded if encoded and isinstance(encoded[0], np.ndarray) else [np.fromiter((i for e in encoded for i in e), np.int32)]
-            self.flat = np.concatenate([self.flat, *parts])
+            new, self.new = self.new, []
+            flat, lengths = self.encode(new)
+            self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
             self.starts = np.cumsum(self.lengths) - self.lengths
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+        if codes:
+            self.met += np.bincount(np.concatenate(codes), minlength=len(self.met))
         return codes
 
     def ids_of(self, codes: np.ndarray) -> np.ndarray:
         return self.flat[spread(self.starts[codes], self.lengths[codes])]
+
+
+def lists_to_flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """What TokenMemory's encode returns, from lists of ids."""
+    return np.fromiter((i for x in lists for i in x), np.int32), np.fromiter(map(len, lists), np.int64, len(lists))

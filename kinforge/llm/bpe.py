@@ -74,6 +74,94 @@ class PairTable:
         return out.reshape(key.shape)
 
 
+def merge_matrix(pairs: PairTable, ids: np.ndarray) -> np.ndarray:
+    """Rows of ids, padded by -1, with all merges done."""
+    rank = pairs.ranks(ids[:, :-1], ids[:, 1:])
+    out = np.full(ids.shape, -1, dtype=np.int32)
+    row = np.arange(len(ids))
+    while len(row):
+        if not rank.shape[1]:
+            out[row, :1] = ids
+            break
+        here = np.arange(len(row))
+        at = rank.argmin(axis=1)
+        least = rank[here, at]
+        over = least == NONE
+        if over.any():
+            out[row[over], : ids.shape[1]] = ids[over]
+            on = ~over
+            row, at, least = row[on], at[on], least[on]
+            width = max(2, int((ids[on] >= 0).sum(axis=1).max(initial=0)))  # compaction: columns that no row needs any more go
+            ids, rank = ids[on, :width], rank[on, : width - 1]
+            here = here[: len(row)]
+        ids[here, at] = least
+        later = np.arange(ids.shape[1] - 1) > at[:, None]
+        ids[:, :-1] = np.where(later, ids[:, 1:], ids[:, :-1])
+        ids[:, -1] = -1
+        rank[:, :-1] = np.where(later[:, :-1] | (np.arange(ids.shape[1] - 2) == at[:, None]), rank[:, 1:], rank[:, :-1])
+        rank[:, -1] = NONE
+        inner = at < rank.shape[1]
+        rank[here[inner], at[inner]] = pairs.ranks(ids[here[inner], at[inner]], ids[here[inner], at[inner] + 1])
+        inner = at > 0
+        rank[here[inner], at[inner] - 1] = pairs.ranks(ids[here[inner], at[inner] - 1], ids[here[inner], at[inner]])
+    return out
+
+
+def merge_long(pairs: PairTable, ids: np.ndarray) -> np.ndarray:
+    """The same merges for one long row, with a heap."""
+    now = ids.tolist()
+    n = len(now)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i, now[i], now[i + 1]) for i, r in enumerate(pairs.ranks(ids[:-1], ids[1:]).tolist()) if r != NONE]
+    heapq.heapify(heap)
+
+    def push(i: int) -> None:
+        if i >= 0 and (j := after[i]) < n:
+            r = int(pairs.ranks(np.array([now[i]]), np.array([now[j]]))[0])
+            if r != NONE:
+                heapq.heappush(heap, (r, i, now[i], now[j]))
+
+    while heap:
+        r, i, a, b = heapq.heappop(heap)
+        if now[i] != a or (j := after[i]) >= n or now[j] != b:
+            continue
+        now[i], now[j], after[i] = r, -1, after[j]
+        if after[i] < n:
+            before[after[i]] = i
+        push(before[i])
+        push(i)
+    return np.array([x for x in now if x >= 0], dtype=np.int32)
+
+
+def merge_rows(pairs: PairTable, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All merges of rows of ids given one after another, by buckets of like lengths; in the same form."""
+    starts = np.cumsum(lengths) - lengths
+    sizes = lengths.copy()
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for k in np.flatnonzero(lengths > LONGEST).tolist():
+        ids = merge_long(pairs, flat[starts[k] : starts[k] + lengths[k]])
+        sizes[k] = len(ids)
+        found.append((np.array([k]), ids))
+    low = 0
+    while low < min(LONGEST, int(lengths.max(initial=0))):
+        high = max(low + 2, low * 3 // 2)
+        members = np.flatnonzero((lengths > low) & (lengths <= high) & (lengths <= LONGEST))
+        step = max(1, ELEMENTS // high)
+        for a in range(0, len(members), step):
+            part = members[a : a + step]
+            ids = np.full((len(part), int(lengths[part].max())), -1, dtype=np.int32)
+            ids[np.arange(ids.shape[1]) < lengths[part, None]] = flat[spread(starts[part], lengths[part])]
+            ids = merge_matrix(pairs, ids)
+            sizes[part] = (ids >= 0).sum(axis=1)
+            found.append((part, ids[ids >= 0]))
+        low = high
+    ends = np.cumsum(sizes)
+    out = np.zeros(int(sizes.sum()), dtype=np.int32)
+    for part, ids in found:
+        out[spread(ends[part] - sizes[part], sizes[part])] = ids
+    return out, sizes
+
+
 class BytePairEncoding:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
@@ -87,85 +175,14 @@ class BytePairEncoding:
         self.token_length = np.array([len(self.tokens.get(i, b"")) for i in range(size)], dtype=np.int64)
         self.token_start = np.cumsum(self.token_length) - self.token_length
         self.token_bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(size)), dtype=np.uint8)
-        self.memory = TokenMemory(lambda pieces: self.merge([p.encode() for p in pieces]), REMEMBERED)
-
-    def _merge_matrix(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of pieces of about one length."""
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        ids = np.full((len(pieces), int(sizes.max())), -1, dtype=np.int32)
-        filled = np.arange(ids.shape[1]) < sizes[:, None]
-        ids[filled] = self.byte_id[np.frombuffer(b"".join(pieces), dtype=np.uint8)]
-        rank = self.pairs.ranks(ids[:, :-1], ids[:, 1:])
-        row, done = np.arange(len(pieces)), [None] * len(pieces)
-        while True:
-            at = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(row), np.int64)
-            least = rank[np.arange(len(row)), at] if rank.shape[1] else np.full(len(row), NONE)
-            over = least == NONE
-            if over.any():
-                for r, x in zip(row[over].tolist(), ids[over], strict=True):
-                    done[r] = x[x >= 0]
-                row, ids, rank, at, least = row[~over], ids[~over], rank[~over], at[~over], least[~over]
-                if not len(row):
-                    return done
-                width = int((ids >= 0).sum(axis=1).max())  # compaction: padding that no row needs any more
-                ids, rank = ids[:, :width], rank[:, : width - 1]
-            here = np.arange(len(row))
-            ids[here, at] = least
-            place = np.arange(ids.shape[1] - 1)
-            ids[:, :-1] = np.take_along_axis(ids, place + (place > at[:, None]), axis=1)
-            ids[:, -1] = -1
-            place = place[:-1]
-            rank[:, :-1] = np.take_along_axis(rank, place + (place >= at[:, None]), axis=1)
-            rank[:, -1] = NONE
-            padded = np.concatenate([ids, np.full((len(row), 1), -1, np.int32)], axis=1)
-            ok = at < rank.shape[1]
-            rank[here[ok], at[ok]] = self.pairs.ranks(padded[here[ok], at[ok]], padded[here[ok], at[ok] + 1])
-            ok = at > 0
-            rank[here[ok], at[ok] - 1] = self.pairs.ranks(padded[here[ok], at[ok] - 1], padded[here[ok], at[ok]])
-
-    def _merge_long(self, piece: bytes) -> np.ndarray:
-        ids = self.byte_id[np.frombuffer(piece, dtype=np.uint8)].astype(np.int64)
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, int(ids[i]), int(ids[i + 1])) for i, r in enumerate(self.pairs.ranks(ids[:-1], ids[1:]).tolist()) if r != NONE]
-        heapq.heapify(heap)
-        now = ids.tolist()
-
-        def push(i: int) -> None:
-            if i >= 0 and (j := after[i]) < n:
-                r = int(self.pairs.ranks(np.array([now[i]]), np.array([now[j]]))[0])
-                if r != NONE:
-                    heapq.heappush(heap, (r, i, now[i], now[j]))
-
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            if now[i] != a or (j := after[i]) >= n or now[j] != b:
-                continue
-            now[i], now[j], after[i] = r, -1, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            push(before[i])
-            push(i)
-        return np.array([x for x in now if x >= 0], dtype=np.int32)
-
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """The ids of each piece."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        buckets: dict[int, list[int]] = {}
-        for k, p in enumerate(pieces):
-            if (i := self.ids.get(p)) is not None:
-                out[k] = np.array([i], dtype=np.int32)
-            elif len(p) > LONGEST:
-                out[k] = self._merge_long(p)
-            else:
-                buckets.setdefault((len(p) - 1).bit_length(), []).append(k)
-        for bits, members in buckets.items():
-            step = max(1, ELEMENTS >> bits)
-            for a in range(0, len(members), step):
-                part = members[a : a + step]
-                for k, x in zip(part, self._merge_matrix([pieces[k] for k in part]), strict=True):
-                    out[k] = x
-        return out
+        self.memory = TokenMemory(self.merge, REMEMBERED)
+
+    def merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one piece after another, and how many each has."""
+        raw = [p.encode() for p in pieces]
+        whole = [self.ids.get(p, -1) for p in raw]
+        rows = [self.byte_id[np.frombuffer(p, dtype=np.uint8)] if w < 0 else np.array([w], np.int32) for p, w in zip(raw, whole, strict=True)]
+        return merge_rows(self.pairs, np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The token ids of each text."""

@@ -17,17 +17,20 @@ an empty table gives an empty result; only the id column is carried.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from .arrow_text import TokenMemory, map_texts, spread, whole_row
+from .bpe import PairTable, merge_rows
 from .staging import stage
 
 CAPACITY, END_ID, SALTS = 2048, 0, 128
@@ -35,15 +38,64 @@ CAPACITY, END_ID, SALTS = 2048, 0, 128
 REMEMBERED = 600_000
 
 
+#: What the vocabulary's file cuts lowered text into, and the single spaces that words are joined by here.
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+| ")
+#: Words that lower() and NFC treat letter by letter, and that hold no special token.
+_PLAIN = regex.compile(r"(?!.*<\|)[\x00-\u012F\u0131-\u024F]*", regex.S)
+
+
 class Words:
-    """Token ids of texts, by the words they are of."""
+    """Token ids of texts, by the words they are of; for words in Latin script by matrices of merges, for others
+    by the vocabulary's own library."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.model = Tokenizer.from_file(path)
-        self.memory = TokenMemory(lambda words: [e.ids for e in self.model.encode_batch([w.decode() for w in words], add_special_tokens=False)], REMEMBERED)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocabulary = model["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        merged = [vocabulary[a + b] for a, b in merges]
+        if merged != sorted(merged):
+            raise ValueError("the ids of merges must rise with their ranks")
+        self.pairs = PairTable(*np.array([(vocabulary[a], vocabulary[b], c) for (a, b), c in zip(merges, merged, strict=True)], dtype=np.int64).T)
+        shown = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.first = np.zeros((2, 256), dtype=np.int32)  # ids of bytes inside a piece, and at its end
+        for c in map(chr, range(0x250)):
+            for byte, letter in zip(c.encode(), shown.pre_tokenize_str(c)[0][0], strict=True):
+                self.first[:, byte] = vocabulary[letter], vocabulary[letter + model["end_of_word_suffix"]]
+        self.piece_memory = TokenMemory(self._merge, REMEMBERED)
+        self.memory = TokenMemory(self._encode, REMEMBERED)
+
+    def _merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        raw = [p.encode() for p in pieces]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        ids = self.first[0, data]
+        ends = np.cumsum(lengths) - 1
+        ids[ends] = self.first[1, data[ends]]
+        return merge_rows(self.pairs, ids, lengths)
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [w.decode() for w in words]
+        plain = np.fromiter((_PLAIN.fullmatch(t) is not None for t in texts), bool, len(texts))
+        pieces = _CUT.findall(" ".join([t for t, p in zip(texts, plain.tolist(), strict=True) if p]).lower())
+        at = np.fromiter((p == " " for p in pieces), bool, len(pieces))
+        codes = self.piece_memory.codes([[p for p in pieces if p != " "]])[0]
+        word_of = np.flatnonzero(plain)[np.cumsum(at)[~at]] if len(codes) else np.zeros(0, np.int64)
+        sizes = np.bincount(word_of, weights=self.piece_memory.lengths[codes], minlength=len(words)).astype(np.int64)
+        other = np.flatnonzero(~plain)
+        ids = [e.ids for e in self.model.encode_batch([texts[i] for i in other.tolist()], add_special_tokens=False)]
+        sizes[other] = list(map(len, ids))
+        starts = np.cumsum(sizes) - sizes
+        flat = np.zeros(int(sizes.sum()), dtype=np.int32)
+        mine = np.flatnonzero(plain)
+        flat[spread(starts[mine], sizes[mine])] = self.piece_memory.ids_of(codes)
+        flat[spread(starts[other], sizes[other])] = np.fromiter((i for x in ids for i in x), np.int32)
+        return flat, sizes
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         return [self.memory.ids_of(codes) for codes in self.memory.codes([t.split() for t in texts])]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .arrow_text import TokenMemory, map_texts, mix, span_hashes, text_buffers, whole_row, word_bounds
+from .arrow_text import TokenMemory, lists_to_flat, map_texts, mix, span_hashes, text_buffers, whole_row, word_bounds
 
 VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -51,7 +51,7 @@ class Fertility:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self.memory = TokenMemory(lambda words: self.model.encode([w.decode("utf-8", "replace") for w in words], num_threads=1), REMEMBERED)
+        self.memory = TokenMemory(lambda words: lists_to_flat(self.model.encode([w.decode() for w in words], num_threads=1)), REMEMBERED)
 
     def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The token ids of all texts' words, one after another, and each word's number of tokens."""
