@@ -1,34 +1,5 @@
-"""Tables between the steps of an operator, in the folder that all executors share.
+"""Tables between the steps of an operator; see sources.shared."""
 
-A staged table is Parquet below ``spark.checkpoint.dir``: it cuts the lineage, survives the loss of an
-executor and is read by column. Only where that setting is unset, as in tests, a folder of this process's
-own is set once for the session.
-"""
+from ..sources.shared import SETTING, shared_folder, stage
 
-from __future__ import annotations
-
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="kinforge-")
-        spark.conf.set(SETTING, folder)
-    return folder.rstrip("/")
-
-
-def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write df and return it as read back; its rows are computed once, however often they are used."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/kinforge/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["SETTING", "shared_folder", "stage"]
