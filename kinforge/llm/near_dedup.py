@@ -9,11 +9,10 @@ Candidates are pairs that share a band's bucket. Buckets of up to ``SMALL`` memb
 larger bucket first gives the pairs with one member of its own. Candidates are compared by batches of ``BATCH``
 signature values; after each batch those are dropped whose posterior chance of reaching the threshold (uniform
 prior) is under ``MISS``. The survivors are verified exactly on their full sets, and links are joined to
-components. Larger buckets that still hold several components are finished in rounds of falling estimated
-similarity: the members outside the bucket's largest component are compared with all others, block by block, on
-their signatures, and only survivors of different components leave a block. Thus every candidate pair is either
-verified or already connected by verified links, no task holds more than two blocks, and no group is written
-out as all its pairs.
+components. In larger buckets that still hold several components, the members outside the largest one are
+compared with all others, block against block, and only links that join components leave a block. Thus every
+candidate pair is either verified or already connected by verified links, no task holds more than two blocks,
+and no group is written out as all its pairs.
 
 Defined results: texts without words have no shingles and link with nothing; with fewer than w words the whole
 sequence is the one shingle; null ids take no part in links; rows that repeat are copies of each other; an
@@ -36,9 +35,8 @@ from .staging import stage
 
 SHINGLE, PERCENT = 5, 80
 ROWS, BANDS, BATCH, MISS = 6, 24, 16, 1e-5
-SMALL, BLOCK_ROWS = 16, 256
-#: Estimated similarity down to which each round over large buckets takes pairs.
-SLICES = (0.95, 0.9, 0.0)
+#: Members of a bucket that gives all its pairs; rows and bytes of sets in a block of a larger one.
+SMALL, BLOCK_ROWS, BLOCK_BYTES = 16, 256, 8 << 20
 _random = np.random.default_rng(20240229)
 _XOR = _random.integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64)
 _TIMES = _random.integers(0, 1 << 63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -172,61 +170,65 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for k, (x, y) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                common = np.concatenate([x, y])
-                common.sort()
-                common = int((common[1:] == common[:-1]).sum())
-                if 100 * common >= percent * (len(x) + len(y) - common):
-                    keep.append(k)
+            both = zip(batch.column("set_a"), batch.column("set_b"), strict=True)
+            keep = [k for k, (x, y) in enumerate(both) if _similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)]
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in "ab"], names=["a", "b"])
 
     return with_both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def _round(members: DataFrame, labels: DataFrame, percent: int, low: float, high: float) -> DataFrame:
-    """Pairs (a, b) of different components within large buckets, estimated at low to high; each pair in the
-    first band that it shares. members: band, key, id, bands, signature."""
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")  # a merge of two sorted runs
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _within_large(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the components that large buckets still hold.
+
+    members: band, key, id, bands, signature, shingles. In each bucket the members outside its largest component
+    meet all others, block against block. A task compares pairs of different components that met in no earlier
+    band, verifies the survivors exactly, the most similar first, and joins the components that it links, so it
+    gives fewer links than it has rows.
+    """
     named = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    sizes = named.groupBy("band", "key", "label").count()
-    largest = sizes.groupBy("band", "key").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.sum("count").alias("n"), F.max("count").alias("n_main")).where("n > n_main")
-    rows = named.join(largest, ["band", "key"]).withColumn("outside", F.col("label") != F.col("main"))
-    n_out = F.ceil((F.col("n") - F.col("n_main")) / BLOCK_ROWS).cast("int")
-    n_all = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    own = lambda count: F.pmod(F.xxhash64("id", "band"), count)
-    as_all = F.transform(F.sequence(F.lit(0), n_out - 1), lambda o: F.struct(o.alias("o"), own(n_all).cast("int").alias("i"), F.lit(False).alias("query")))
-    as_out = F.when(F.col("outside"), F.transform(F.sequence(F.lit(0), n_all - 1), lambda i: F.struct(own(n_out).cast("int").alias("o"), i.alias("i"), F.lit(True).alias("query"))))
-    none = F.expr("cast(array() as array<struct<o: int, i: int, query: boolean>>)")
-    dealt = rows.select("band", "key", "id", "label", "bands", "signature", F.explode(F.concat(as_all, F.coalesce(as_out, none))).alias("at")).select("band", "key", "id", "label", "bands", "signature", "at.*")
+    sizes = named.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("count"), F.sum(F.octet_length("shingles")).alias("bytes"))
+    largest = sizes.groupBy("band", "key").agg(F.max_by(F.struct("label", "count", "bytes"), F.struct("count", "label")).alias("main"), F.sum("count").alias("n"), F.sum("bytes").alias("bytes")).where("n > main.count")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(size / BLOCK_BYTES)).cast("int")
+    largest = largest.select("band", "key", F.col("main.label").alias("main"), blocks(F.col("n") - F.col("main.count"), F.col("bytes") - F.col("main.bytes")).alias("n_out"), blocks(F.col("n"), F.col("bytes")).alias("n_all"))
+    rows = named.join(largest, ["band", "key"]).withColumn("query", F.col("label") != F.col("main"))
+    own = lambda count: F.pmod(F.xxhash64("id", "band"), F.col(count)).cast("int")
+    as_any = F.transform(F.sequence(F.lit(0), F.col("n_out") - 1), lambda o: F.struct(o.alias("o"), own("n_all").alias("i"), F.lit(False).alias("asks")))
+    as_query = F.transform(F.sequence(F.lit(0), F.col("n_all") - 1), lambda i: F.struct(own("n_out").alias("o"), i.alias("i"), F.lit(True).alias("asks")))
+    none = F.expr("cast(array() as array<struct<o: int, i: int, asks: boolean>>)")
+    columns = ["band", "key", "id", "label", "query", "bands", "signature", "shingles"]
+    dealt = rows.select(*columns, F.explode(F.concat(as_any, F.when(F.col("query"), as_query).otherwise(none))).alias("at")).select(*columns, "at.*")
     least = least_matches(percent / 100)
 
     def kernel(group: pa.Table) -> pa.Table:
-        query = np.asarray(group.column("query").combine_chunks().to_numpy(zero_copy_only=False))
-        ids, labels = (group.column(c).to_numpy() for c in ("id", "label"))
+        asks, query = (np.asarray(group.column(c).combine_chunks().to_numpy(zero_copy_only=False)) for c in ("asks", "query"))
+        ids, labels = group.column("id").to_numpy(), group.column("label").to_numpy().copy()
         bands = np.stack(group.column("bands").to_numpy())
-        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint8).reshape(len(ids), ROWS * BANDS)
+        sig = _matrix(group.column("signature"))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
         band = group.column("band")[0].as_py()
-        outside = set(ids[query].tolist())
-        q, other = np.flatnonzero(query), np.flatnonzero(~query)
-        main = np.array([i not in outside for i in ids[other].tolist()])
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for k in q:
-            # of two queries in one block the smaller id asks; blocks of queries against each other meet twice, harmlessly
-            to = other[(labels[other] != labels[k]) & (main | (ids[other] > ids[k]))]
+        others = np.flatnonzero(~asks)
+        found: list[tuple[int, int]] = []
+        for k in np.flatnonzero(asks).tolist():
+            # of two queries the smaller id asks
+            to = others[(labels[others] != labels[k]) & (~query[others] | (ids[others] > ids[k]))]
             if band and len(to):
                 to = to[~(bands[to, :band] == bands[k, :band]).any(axis=1)]
-            if not len(to):
-                continue
             alive, matches = survivors(np.broadcast_to(sig[k], (len(to), sig.shape[1])), sig[to], least)
-            share = matches / sig.shape[1]
-            to = to[alive[(share >= low) & (share < high)]]
-            found.append((np.full(len(to), ids[k]), ids[to]))
-        x = np.concatenate([np.zeros(0, np.int64), *(f[0] for f in found)])
-        y = np.concatenate([np.zeros(0, np.int64), *(f[1] for f in found)])
-        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+            for m in to[alive[np.argsort(-matches, kind="stable")]].tolist():
+                if labels[m] != labels[k] and _similar(sets[k], sets[m], percent):
+                    found.append((min(ids[k], ids[m]), max(ids[k], ids[m])))
+                    labels[labels == labels[m]] = labels[k]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return dealt.groupBy("band", "key", "o", "i").applyInArrow(kernel, "a long, b long").distinct()
 
@@ -259,14 +261,11 @@ def _linked(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, w: i
     large = shared.where(F.col("size") > SMALL)
     if large.isEmpty():
         return labels
-    members = stage(large.select("band", "key", "id").join(held, "id"), "large-buckets")
-    high = 2.0
-    for low in SLICES:
-        new = stage(_verify(_round(members, labels, percent, low, high), sets, percent), "links")
-        if not new.isEmpty():
-            labels = components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).unionByName(new))
-        high = low
-    return labels
+    members = stage(large.select("band", "key", "id").join(held, "id").join(sets, "id"), "large-buckets")
+    more = stage(_within_large(members, labels, percent), "links")
+    if more.isEmpty():
+        return labels
+    return components(labels.select(F.col("id").alias("a"), F.col("label").alias("b")).unionByName(more))
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, w: int) -> DataFrame:
