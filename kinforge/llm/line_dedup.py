@@ -11,8 +11,8 @@ A key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, A-Z lowered. Keys
 points found in at least ``least_docs`` documents lose all their lines.
 
 Defined results: a null text is one empty line, which is kept; keys shorter than least_chars are never
-dropped; a document whose lines are all dropped has an empty text; rows that repeat count as documents each
-and lose the same lines; an empty table gives an empty result; other columns are carried.
+dropped; a document whose lines are all dropped has an empty text; rows that repeat both id and text count as
+one document and lose the same lines; an empty table gives an empty result; other columns are carried.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ LEAST_CHARS, LEAST_DOCS = 1, 10
 
 
 def line_key(line: Column) -> Column:
-    return ascii_lower(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
+    return ascii_lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")))
 
 
 def _lines(text: Column) -> Column:
@@ -62,7 +62,7 @@ class Runs:
         return self.spark.table(name)
 
     def add(self, keys: DataFrame) -> None:
-        """keys: h1, h2, a row for each document that has the key."""
+        """keys: h1, h2, a row for each document that has the key. Their batch becomes a run."""
         counted = keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
         if self.settled is not None:
             counted = counted.join(self.settled, ["h1", "h2"], "left_anti")
@@ -96,24 +96,28 @@ class Runs:
         return self.settled if self.settled is not None else self.spark.createDataFrame([], "h1 long, h2 long")
 
 
-def repeated_keys(docs: DataFrame, text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES) -> DataFrame:
+def line_hashes(docs: DataFrame, id_col: str, text_col: str, least_chars: int, batches: int) -> DataFrame:
+    """Staged: a row for each line with a key: batch, id, same (a hash of the text), place, h1, h2."""
+    text = F.col(f"`{text_col}`")
+    keys = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("same"), F.posexplode(F.transform(_lines(text), line_key)).alias("place", "key")).where(F.length("key") >= least_chars)
+    rows = keys.select(F.pmod(F.xxhash64("id", "same"), F.lit(batches)).cast("int").alias("batch"), "id", "same", "place", _hash(F.col("key")).alias("k")).select("batch", "id", "same", "place", "k.h1", "k.h2")
+    return stage(rows, "line-keys", ["batch"])
+
+
+def repeated_keys(hashes: DataFrame, least_docs: int = LEAST_DOCS, batches: int = BATCHES) -> DataFrame:
     """Hashes (h1, h2) of the line keys that are found in enough documents."""
-    keys = F.array_distinct(F.transform(F.filter(F.transform(_lines(F.col(text_col)), line_key), lambda k: F.length(k) >= least_chars), _hash))
-    rows = docs.select(F.pmod(F.xxhash64(text_col), F.lit(batches)).cast("int").alias("batch"), F.explode(keys).alias("k")).select("batch", "k.h1", "k.h2")
-    staged = stage(rows, "line-keys", ["batch"])
-    runs = Runs(docs.sparkSession, least_docs)
+    runs = Runs(hashes.sparkSession, least_docs)
     for b in range(batches):
-        runs.add(staged.where(F.col("batch") == b).select("h1", "h2"))
+        runs.add(hashes.where(F.col("batch") == b).select("h1", "h2", "id", "same").distinct())
     return runs.finish()
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES, carry: list[str] | None = None) -> DataFrame:
     """``row`` (a struct of the carried columns, all by default), n_lines, n_dropped and kept_text."""
-    settled = repeated_keys(docs, text_col, least_chars, least_docs, batches)
     text, same = F.col(f"`{text_col}`"), F.xxhash64(F.col(f"`{text_col}`"))
-    keys = docs.select(F.col(f"`{id_col}`").alias("id"), same.alias("same"), F.posexplode(F.transform(_lines(text), line_key)).alias("place", "key")).where(F.length("key") >= least_chars)
-    keys = keys.select("id", "same", "place", _hash(F.col("key")).alias("k")).select("id", "same", "place", "k.h1", "k.h2")
-    places = keys.join(settled, ["h1", "h2"], "left_semi").groupBy("id", "same").agg(F.collect_set("place").alias("places"))
+    hashes = line_hashes(docs, id_col, text_col, least_chars, batches)
+    settled = repeated_keys(hashes, least_docs, batches)
+    places = hashes.join(settled, ["h1", "h2"], "left_semi").groupBy("id", "same").agg(F.collect_set("place").alias("places"))
     row = whole_row(docs.select(*[F.col(f"`{c}`") for c in carry])) if carry else whole_row(docs)
     rows = docs.select(row.alias("row"), text.alias("text"), F.col(f"`{id_col}`").alias("id"), same.alias("same"))
     joined = rows.join(places.withColumnsRenamed({"id": "id_", "same": "same_"}), rows["id"].eqNullSafe(F.col("id_")) & (rows["same"] == F.col("same_")), "left").select("row", "text", "places")
