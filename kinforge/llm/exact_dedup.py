@@ -51,16 +51,21 @@ def _bits(cell: Column) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(i), cell), F.lit(BLOCK_BITS)).cast("int") for i in range(PROBES)]
 
 
-def mark_repeated(rows: DataFrame, digests: DataFrame) -> DataFrame:
-    """rows with ``maybe``: false only where no other row of digests has the row's digest."""
-    cell = _cell(F.col("digest"))
-    again = stage(digests.groupBy(cell.alias("cell")).count().where("count > 1").select("cell"), "repeated-cells")
-    blocks = min(MOST_BLOCKS, again.count() // PER_BLOCK + 1)
-    bits = again.select(_block(F.col("cell"), blocks).alias("block"), F.explode(F.array(*_bits(F.col("cell")))).alias("bit"))
-    filters = bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("filter"))
-    tested = rows.withColumn("block", _block(cell, blocks)).join(F.broadcast(filters), "block", "left")
-    held = [F.getbit(F.conv(F.hex(F.substring("filter", F.floor(b / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint"), b % 8) == 1 for b in _bits(cell)]
-    return tested.withColumn("maybe", F.coalesce(reduce(Column.__and__, held), F.lit(False))).drop("block", "filter")
+class RepeatFilter:
+    """The two passes: built from digests, it marks rows."""
+
+    def __init__(self, digests: DataFrame):
+        self.cell = _cell(F.col("digest"))
+        again = stage(digests.groupBy(self.cell.alias("cell")).count().where("count > 1").select("cell"), "repeated-cells")
+        self.blocks = min(MOST_BLOCKS, again.count() // PER_BLOCK + 1)
+        bits = again.select(_block(F.col("cell"), self.blocks).alias("block"), F.explode(F.array(*_bits(F.col("cell")))).alias("bit"))
+        self.filters = stage(bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("filter")), "repeat-filter")
+
+    def mark(self, rows: DataFrame) -> DataFrame:
+        """rows with ``maybe``: false only where no other row has the row's ``digest``."""
+        tested = rows.withColumn("block", _block(self.cell, self.blocks)).join(F.broadcast(self.filters), "block", "left")
+        held = [F.getbit(F.conv(F.hex(F.substring("filter", F.floor(b / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint"), b % 8) == 1 for b in _bits(self.cell)]
+        return tested.withColumn("maybe", F.coalesce(reduce(Column.__and__, held), F.lit(False))).drop("block", "filter")
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -70,10 +75,12 @@ def _groups(rows: DataFrame) -> DataFrame:
 def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row: id, keep_id, group_size, kept, text_sha256. The texts are read once."""
     digests = stage(docs.select(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")), "digests")
-    marked = mark_repeated(digests, digests)
+    marked = RepeatFilter(digests).mark(digests)
     alone = marked.where(~F.col("maybe")).select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
     rows = marked.where("maybe")
-    settled = rows.join(_groups(rows), "digest").select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+    # the substring hides how the groups are dealt out: both sides are shuffled, and a large group may be split
+    groups = _groups(rows).select(F.substring("digest", 1, 64).alias("digest"), "keep_id", "group_size")
+    settled = rows.join(groups, "digest").select("id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
     return alone.unionByName(settled).withColumnRenamed("digest", "text_sha256")
 
 
@@ -81,8 +88,9 @@ def dedupe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """The rows of docs that stay, with all their columns; only possibly repeated ones shuffle."""
     rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest"))
     digests = stage(rows.select("id", "digest"), "digests")
-    winners = _groups(mark_repeated(digests, digests).where("maybe")).select("digest", "keep_id")
-    marked = mark_repeated(rows, digests)
+    repeats = RepeatFilter(digests)
+    winners = _groups(repeats.mark(digests).where("maybe")).select("digest", "keep_id")
+    marked = repeats.mark(rows)
     held = marked.where("maybe")
     held = held.join(winners, (held["digest"] == winners["digest"]) & held["id"].eqNullSafe(winners["keep_id"]), "left_semi")
     return marked.where(~F.col("maybe")).select("row.*").unionByName(held.dropDuplicates(["digest", "id"]).select("row.*"))
