@@ -27,7 +27,7 @@ from .arrow_text import map_texts, mix, span_hashes, text_buffers, whole_row, wo
 
 BITS = 18
 #: Labelled rows that are learnt from, at most.
-MOST_ROWS = 20_000
+MOST_ROWS = 12_000
 EPOCHS = 4
 
 
