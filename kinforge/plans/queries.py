@@ -100,7 +100,7 @@ def suspicious_counts(spark, sf_dir):
     """Names with a control and a replacement character put into some."""
     rows = entities.raw(spark, sf_dir)
     d = F.col("doc_id")
-    name = F.when(d % 7 == 0, F.concat(F.lit("\x01\x1f"), "business_name")).when(d % 7 == 1, F.concat(F.lit("�\x85"), "business_name")).when(d % 7 == 2, F.concat(F.lit(""), "business_name")).otherwise(F.col("business_name"))
+    name = F.when(d % 7 == 0, F.concat(F.lit("\x01\x1f"), "business_name")).when(d % 7 == 1, F.concat(F.lit("\ufffd\x85"), "business_name")).when(d % 7 == 2, F.concat(F.lit("\ue000"), "business_name")).otherwise(F.col("business_name"))
     return profiling.suspicious_counts(rows.withColumn("business_name", name)).withColumnRenamed("column", "col")
 
 

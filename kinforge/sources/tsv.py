@@ -57,7 +57,7 @@ def ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """s1_id and matched (array of distinct ids); of rows that repeat an id the last holds."""
     cut = fields(F.col("value"))
     matched = F.array_distinct(F.filter(F.split(F.coalesce(F.get(cut, F.lit(1)), F.lit("")), ","), lambda e: F.trim(e) != ""))
-    rows = lines(spark, path).select("line", cut[0].alias("s1_id"), F.transform(matched, F.trim).alias("matched")).where("s1_id <> ''")
+    rows = lines(spark, path).select("line", cut[0].alias("s1_id"), F.transform(matched, lambda e: F.trim(e)).alias("matched")).where("s1_id <> ''")
     return rows.groupBy("s1_id").agg(F.max_by("matched", "line").alias("matched"))
 
 
