@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that a kernel sees at once; longer single texts are seen alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: The six characters of [\x20\x09-\x0D]; they separate words, as bytes.split() does.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -46,17 +49,41 @@ def pieces(batch: pa.RecordBatch, text_of: Callable[[pa.RecordBatch], pa.Array],
         start = stop
 
 
-def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: int | str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Run kernel over df's batches, cut by bytes of text. text: the column's name."""
+def release() -> None:
+    """Give memory that a task has freed back to the system, so that idle Python workers hold little."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str, text: str, chunk_bytes: int = CHUNK_BYTES, done: Callable[[], None] | None = None) -> DataFrame:
+    """Run kernel over df's batches, cut by bytes of the column text; done is called when a task ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in pieces(batch, lambda b: b.column(text), chunk_bytes):
-                yield kernel(part)
+        try:
+            for batch in batches:
+                for part in pieces(batch, lambda b: b.column(text), chunk_bytes):
+                    yield kernel(part)
+        finally:
+            if done:
+                done()
+            release()
 
     return df.mapInArrow(run, schema)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
+    """Within it, what is run sends Python workers batches of at most size bytes or one row."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices starts[0], starts[0] + 1, ... of each run, one run after another."""
     total = int(lengths.sum())
@@ -124,17 +151,21 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 class TokenMemory(dict):
     """Token ids of strings that were met before, by a number each.
 
-    encode: from a list of new strings to their ids, one string after another, and each one's number of ids. A
-    Python worker keeps one memory; above ``most`` strings it forgets those met least, half of them at least, so
-    its size is bounded.
+    encode: from a list of new strings to their ids, one string after another, and each one's number of ids.
+    Above ``most`` strings it forgets those met least, half of them at least, so its size is bounded; operators
+    reset it when a task ends.
     """
 
     def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int):
         super().__init__()
         self.encode, self.most = encode, most
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
         self.new: list = []
         self.flat = np.zeros(0, np.int32)
-        self.lengths, self.starts, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.lengths, self.starts, self.met = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _forget(self) -> None:
         least = 2
@@ -165,9 +196,9 @@ class TokenMemory(dict):
             flat, lengths = self.encode(new)
             self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
             self.starts = np.cumsum(self.lengths) - self.lengths
-            self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int32)])
         if codes:
-            self.met += np.bincount(np.concatenate(codes), minlength=len(self.met))
+            self.met += np.bincount(np.concatenate(codes), minlength=len(self.met)).astype(np.int32)
         return codes
 
     def ids_of(self, codes: np.ndarray) -> np.ndarray:

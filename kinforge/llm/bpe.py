@@ -28,7 +28,7 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from .arrow_text import TokenMemory, map_texts, spread, whole_row
 
 LONGEST = 2048
-#: Elements of a matrix, and pieces remembered by a Python worker before it starts anew.
+#: Elements of a matrix, and pieces remembered by a task, at most.
 ELEMENTS, REMEMBERED = 1 << 20, 400_000
 NONE = np.int32(2**31 - 1)
 
@@ -218,7 +218,7 @@ def encode(docs: DataFrame, text_col: str = "text", carry: list[str] | None = No
         ids = _encoding(*where).encode([t or "" for t in batch.column("text").to_pylist()])
         return pa.RecordBatch.from_arrays([batch.column("row"), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], names=["row", "n_tokens", "ids"])
 
-    return map_texts(rows, kernel, StructType([rows.schema["row"], StructField("n_tokens", LongType()), StructField("ids", BinaryType())]), "text")
+    return map_texts(rows, kernel, StructType([rows.schema["row"], StructField("n_tokens", LongType()), StructField("ids", BinaryType())]), "text", done=lambda: _encoding(*where).memory.reset())
 
 
 def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -9,9 +9,9 @@ from .staging import stage
 
 
 def _joined(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """edges with their a's least neighbour. The sum hides how least is dealt out, so that both sides are
-    shuffled for the join and the adaptive planner may split a node of many edges."""
-    return edges.join(least.select((F.col("a") + 0).alias("a"), "m"), "a")
+    """edges with their a's least neighbour. That is staged, so that both sides are shuffled for the join and
+    the adaptive planner may split a node of many edges."""
+    return edges.join(stage(least, "least-neighbours"), "a")
 
 
 def components(edges: DataFrame) -> DataFrame:

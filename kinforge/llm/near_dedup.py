@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .arrow_text import map_texts, mix, span_hashes, text_buffers, word_bounds
+from .arrow_text import map_texts, mix, small_batches, span_hashes, text_buffers, word_bounds
 from .components import components
 from .staging import stage
 
@@ -199,7 +199,8 @@ def _within_large(members: DataFrame, labels: DataFrame, percent: int) -> DataFr
     sizes = named.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("count"), F.sum(F.octet_length("shingles")).alias("bytes"))
     largest = sizes.groupBy("band", "key").agg(F.max_by(F.struct("label", "count", "bytes"), F.struct("count", "label")).alias("main"), F.sum("count").alias("n"), F.sum("bytes").alias("bytes")).where("n > main.count")
     blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(size / BLOCK_BYTES)).cast("int")
-    largest = largest.select("band", "key", F.col("main.label").alias("main"), blocks(F.col("n") - F.col("main.count"), F.col("bytes") - F.col("main.bytes")).alias("n_out"), blocks(F.col("n"), F.col("bytes")).alias("n_all"))
+    # staged, so that the join below shuffles both sides and a bucket of many members may be split
+    largest = stage(largest.select("band", "key", F.col("main.label").alias("main"), blocks(F.col("n") - F.col("main.count"), F.col("bytes") - F.col("main.bytes")).alias("n_out"), blocks(F.col("n"), F.col("bytes")).alias("n_all")), "large-bucket-sizes")
     rows = named.join(largest, ["band", "key"]).withColumn("query", F.col("label") != F.col("main"))
     own = lambda count: F.pmod(F.xxhash64("id", "band"), F.col(count)).cast("int")
     as_any = F.transform(F.sequence(F.lit(0), F.col("n_out") - 1), lambda o: F.struct(o.alias("o"), own("n_all").alias("i"), F.lit(False).alias("asks")))
@@ -235,10 +236,12 @@ def _within_large(members: DataFrame, labels: DataFrame, percent: int) -> DataFr
 
 def clusters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """A row for each row: id, n_shingles, component_id (the smallest id reached by links)."""
-    signed = stage(signatures(docs, id_col, text_col, w), "signatures")
-    classes = signed.where("n > 0 and id is not null").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
-    labels = _linked(signed, docs, id_col, text_col, w, percent)
-    named = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select((F.col("s1") + 0).alias("s1"), "s2", "n", F.coalesce("label", "rep").alias("component_id"))
+    with small_batches(docs.sparkSession):
+        signed = stage(signatures(docs, id_col, text_col, w), "signatures")
+        classes = signed.where("n > 0 and id is not null").groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"))
+        labels = _linked(signed, docs, id_col, text_col, w, percent)
+        # staged, so that both sides of the last join are shuffled for it and a class of many copies may be split
+        named = stage(classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", "n", F.coalesce("label", "rep").alias("component_id")), "classes")
     return signed.select("id", "s1", "s2", "n").join(named, ["s1", "s2", "n"], "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
@@ -256,7 +259,8 @@ def _linked(signed: DataFrame, docs: DataFrame, id_col: str, text_col: str, w: i
     held = stage(signed.join(ids, "id", "left_semi").dropDuplicates(["id"]).select("id", "bands", "signature"), "bucket-signatures")
     sets = stage(_sets(docs, ids, id_col, text_col, w), "bucket-sets")
 
-    links = stage(_verify(_prune(pairs.unionByName(hubs).distinct(), held, percent), sets, percent), "links")
+    likely = stage(_prune(pairs.unionByName(hubs).distinct(), held, percent), "likely-pairs")
+    links = stage(_verify(likely, sets, percent), "links")
     labels = components(links)
     large = shared.where(F.col("size") > SMALL)
     if large.isEmpty():

@@ -19,7 +19,7 @@ from __future__ import annotations
 import bisect
 import json
 import os
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,8 @@ from .bpe import PairTable, merge_rows
 from .staging import stage
 
 CAPACITY, END_ID, SALTS = 2048, 0, 128
-#: Words remembered by a Python worker.
-REMEMBERED = 600_000
+#: Words, and pieces of words, remembered by a task at most.
+REMEMBERED = 400_000
 
 
 #: What the vocabulary's file cuts lowered text into, and the single spaces that words are joined by here.
@@ -49,11 +49,9 @@ class Words:
     by the vocabulary's own library."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self.model = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         vocabulary = model["vocab"]
@@ -67,9 +65,17 @@ class Words:
         for c in map(chr, range(0x250)):
             for byte, letter in zip(c.encode(), shown.pre_tokenize_str(c)[0][0], strict=True):
                 self.first[:, byte] = vocabulary[letter], vocabulary[letter + model["end_of_word_suffix"]]
-        self.piece_memory = TokenMemory(self._merge, REMEMBERED)
+        self.piece_memory = TokenMemory(self._merge, REMEMBERED // 2)
         self.memory = TokenMemory(self._encode, REMEMBERED)
 
+    @cached_property
+    def model(self):
+        """The vocabulary in its own library; it is loaded only where a word needs it."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [p.encode() for p in pieces]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
@@ -88,7 +94,7 @@ class Words:
         word_of = np.flatnonzero(plain)[np.cumsum(at)[~at]] if len(codes) else np.zeros(0, np.int64)
         sizes = np.bincount(word_of, weights=self.piece_memory.lengths[codes], minlength=len(words)).astype(np.int64)
         other = np.flatnonzero(~plain)
-        ids = [e.ids for e in self.model.encode_batch([texts[i] for i in other.tolist()], add_special_tokens=False)]
+        ids = [e.ids for e in self.model.encode_batch([texts[i] for i in other.tolist()], add_special_tokens=False)] if len(other) else []
         sizes[other] = list(map(len, ids))
         starts = np.cumsum(sizes) - sizes
         flat = np.zeros(int(sizes.sum()), dtype=np.int32)
@@ -97,6 +103,10 @@ class Words:
         flat[spread(starts[other], sizes[other])] = np.fromiter((i for x in ids for i in x), np.int32)
         return flat, sizes
 
+    def forget(self) -> None:
+        self.memory.reset()
+        self.piece_memory.reset()
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         return [self.memory.ids_of(codes) for codes in self.memory.codes([t.split() for t in texts])]
 
@@ -125,7 +135,7 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
         )
 
     schema = StructType([rows.schema["doc_id"], StructField("piece", IntegerType()), StructField("start", LongType()), StructField("length", LongType()), StructField("ids", BinaryType())])
-    return map_texts(rows, kernel, schema, "text")
+    return map_texts(rows, kernel, schema, "text", done=lambda: _words(path).forget())
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:

@@ -27,7 +27,7 @@ from .arrow_text import map_texts, mix, span_hashes, text_buffers, whole_row, wo
 
 BITS = 18
 #: Labelled rows that are learnt from, at most.
-MOST_ROWS = 12_000
+MOST_ROWS = 6_000
 EPOCHS = 4
 
 
@@ -95,7 +95,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = rows.take(pc.sort_indices(rows, sort_keys=[("id", "ascending")]))
     order = np.random.default_rng(7).permutation(rows.num_rows)
     place, value, label = (rows.column(c).combine_chunks() for c in ("place", "value", "label"))
-    examples = [(place[i].values.to_numpy(), value[i].values.to_numpy().astype(np.float64), label[i].as_py()) for i in order.tolist()]
+    examples = [(place[i].values.to_numpy(), value[i].values.to_numpy(), label[i].as_py()) for i in order.tolist()]
     return Ftrl().fit(examples)
 
 
