@@ -3,8 +3,15 @@
 A text is read as words ``[^\\x20\\x09-\\x0D]+``. The base rule rejects texts of under 50 words or with over
 half of their words in repeated 3-word windows. The others are tokenised word by word with a public
 SentencePiece vocabulary (it never merges over white space, so words can be encoded once and remembered), and
-measured: code points per token, share of byte-fallback tokens, and the entropy of the tokens in bits. Each
-script has a rejection band for each measure (``BANDS``); a text belongs to the script of most of its letters.
+measured: code points per token, share of byte-fallback tokens, and the entropy of the tokens in bits. Two kinds
+of band reject:
+
+* per script (that of most letters), fixed outer bands for each measure (``BANDS``);
+* per language, a band around what its texts need: the median of code points per token over all texts of the
+  corpus that pass the base rule, and the typical size of a text's distance from it, times the root of its
+  tokens. A text is out of the band if it is over ``MOST_ERRORS`` such errors and ``LEAST_SHIFT`` of the median
+  away. Both statistics are read off exact histograms. A language of under ``LEAST_TEXTS`` such texts has only
+  the outer bands; a null language is the script's.
 
 Repeated words are found by 64-bit hashes of the words; equal words always have equal hashes.
 
@@ -19,18 +26,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
+from pyspark.sql.window import Window
 
 from .arrow_text import TokenMemory, lists_to_flat, map_texts, mix, span_hashes, text_buffers, whole_row, word_bounds
+from .staging import stage
 
 VOCABULARY = "piece_bpe_32k.model"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: script: (least and most code points per token, most byte-fallback share, least entropy in bits)
 BANDS = {
-    "latin": (1.3, 8.0, 0.05, 4.0),
-    "cyrillic": (1.2, 8.0, 0.05, 4.0),
+    "latin": (1.3, 8.0, 0.05, 3.0),
+    "cyrillic": (1.2, 8.0, 0.05, 3.0),
     "greek": (0.6, 6.0, 0.5, 3.0),
     "arabic": (0.6, 6.0, 0.5, 3.0),
     "cjk": (0.3, 4.0, 0.9, 3.0),
@@ -38,9 +47,12 @@ BANDS = {
 }
 #: Last code point of each run of one script, in order; the letters of ASCII are counted apart.
 _RUNS = ((0xBF, "other"), (0x24F, "latin"), (0x36F, "other"), (0x3FF, "greek"), (0x52F, "cyrillic"), (0x5FF, "other"), (0x6FF, "arabic"), (0x74F, "other"), (0x77F, "arabic"), (0x1DFF, "other"), (0x1EFF, "latin"), (0x303F, "other"), (0x30FF, "cjk"), (0x33FF, "other"), (0x9FFF, "cjk"), (0xABFF, "other"), (0xD7AF, "cjk"), (0x10FFFF, "other"))
-MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double, kept boolean"
-#: Words remembered by a Python worker; beyond, it forgets all and starts anew.
-REMEMBERED = 400_000
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double, fits boolean"
+MOST_ERRORS, LEAST_SHIFT, LEAST_TEXTS = 6.0, 0.05, 100
+#: Bins a unit of the histograms of code points per token, and of its scaled distances.
+BINS, DISTANCE_BINS = 1000, 100
+#: Words remembered by a task at most.
+REMEMBERED = 300_000
 
 
 class Fertility:
@@ -165,21 +177,45 @@ def measure(texts: pa.Array, path: str) -> pa.StructArray:
     return pa.StructArray.from_arrays([pa.array(c, type=kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[f for f, _ in fields])
 
 
-def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, vocabulary: str | None = None) -> DataFrame:
-    """A row for each row: ``row`` (a struct of the carried columns, all by default) and ``rules`` (MEASURES)."""
+def _median(values: DataFrame, by: str, value: Column, bins: int) -> DataFrame:
+    """The median of value for each key, to a bin's width, and the number of rows: key, median, n."""
+    counted = values.groupBy(F.col(by).alias("key"), F.floor(value * bins).alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    window = Window.partitionBy("key").orderBy("bin")
+    running = counted.withColumn("below", F.sum("c").over(window)).withColumn("n", F.sum("c").over(Window.partitionBy("key")))
+    return running.where(F.col("below") * 2 >= F.col("n")).groupBy("key").agg(((F.min("bin") + 0.5) / bins).alias("median"), F.first("n").alias("n"))
+
+
+def _language_bands(measured: DataFrame) -> DataFrame:
+    """key, median, error (of a text of one token) for each language of enough texts."""
+    texts = measured.where("not rules.base_failed").select("key", F.col("rules.chars_per_token").alias("x"), F.col("rules.n_tokens").alias("tokens"))
+    medians = stage(_median(texts, "key", F.col("x"), BINS).where(F.col("n") >= LEAST_TEXTS), "fertility-medians")
+    apart = texts.join(medians, "key").select("key", (F.abs(F.col("x") - F.col("median")) * F.sqrt("tokens")).alias("distance"))
+    errors = _median(apart, "key", F.col("distance"), DISTANCE_BINS)
+    return medians.select("key", "median").join(errors.select("key", (F.col("median") * 1.4826).alias("error")), "key")
+
+
+def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, vocabulary: str | None = None, lang_col: str | None = "lang") -> DataFrame:
+    """A row for each row: ``row`` (a struct of the carried columns, all by default), ``rules`` (MEASURES; fits:
+    within the outer bands), ``errors`` (the distance from the language's median) and ``kept``."""
     if vocabulary is None:
         import public_tokenizers
 
         vocabulary = public_tokenizers.path(VOCABULARY)
-    rows = docs.select((whole_row(docs.select(*[F.col(f"`{c}`") for c in carry])) if carry else whole_row(docs)).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+    rows = docs.select((whole_row(docs.select(*[F.col(f"`{c}`") for c in carry])) if carry else whole_row(docs)).alias("row"), lang.alias("lang"), F.col(f"`{text_col}`").alias("text"))
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column("row"), measure(batch.column("text"), vocabulary)], names=["row", "rules"])
+        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), measure(batch.column("text"), vocabulary)], names=["row", "lang", "rules"])
 
-    schema = StructType([rows.schema["row"], StructField("rules", StructType.fromDDL(MEASURES))])
-    return map_texts(rows, kernel, schema, "text")
+    schema = StructType([rows.schema["row"], rows.schema["lang"], StructField("rules", StructType.fromDDL(MEASURES))])
+    measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
+    bands = stage(_language_bands(measured), "fertility-bands")
+    shift = F.col("rules.chars_per_token") - F.col("median")
+    out = (F.abs(shift) * F.sqrt("rules.n_tokens") > F.col("error") * MOST_ERRORS) & (F.abs(shift) > F.col("median") * LEAST_SHIFT)
+    judged = measured.join(bands, "key", "left").withColumn("errors", shift * F.sqrt("rules.n_tokens") / F.col("error"))
+    return judged.select("row", "rules", "errors", (F.col("rules.fits") & ~F.coalesce(out, F.lit(False))).alias("kept"))
 
 
-def keep(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
+def keep(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None, lang_col: str | None = "lang") -> DataFrame:
     """The rows of docs that no rule rejects, with all their columns."""
-    return judge(docs, text_col, None, vocabulary).where("rules.kept").select("row.*")
+    return judge(docs, text_col, None, vocabulary, lang_col).where("kept").select("row.*")

@@ -229,7 +229,7 @@ def test_rules(spark, documents, clashing, nothing):
                 lines.add(line)
         assert (m["n_words"], m["word_chars"], m["n_symbols"], m["n_dup_lines"], m["n_repeat_words"]) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, repeated)
         assert m["base_failed"] == (len(words) < 50 or 100 * repeated > 50 * len(words))
-        assert not (m["base_failed"] and m["kept"])
+        assert not (m["base_failed"] and r["kept"])
     assert quality_rules.keep(nothing).count() == 0
     assert quality_rules.keep(clashing).columns == clashing.columns
 
@@ -246,9 +246,29 @@ def test_rules_measures(spark):
         assert r["rules"]["n_tokens"] == len(ids)
         assert r["rules"]["token_entropy"] == pytest.approx(-(share * np.log2(share)).sum())
     odd = spark.createDataFrame([("🀀🀁" * 40 + " " + " ".join("🀂" * 3 + str(i) for i in range(80)),), (" ".join(f"слово{i} другое" for i in range(60)),)], "text string")
-    got = quality_rules.judge(odd).collect()
-    assert [r["rules"]["script"] for r in got] == ["other", "cyrillic"]
-    assert got[0]["rules"]["byte_share"] > 0.3
+    got = {r["rules"]["script"]: r["rules"] for r in quality_rules.judge(odd).collect()}
+    assert set(got) == {"other", "cyrillic"}
+    assert got["other"]["byte_share"] > 0.3
+
+
+def test_rules_language_band(spark):
+    """Texts of one language, some of them in other words: the band is the one that plain statistics give."""
+    rng = random.Random(6)
+    common = [a + b for a in ("the", "of", "and", "house", "water", "little", "people", "other") for b in ("", "s", "ing", "ed", "ly")]
+    odd = ["zq", "xj", "qk", "vv", "jx"] * 8
+    rows = [(i, " ".join(rng.choice(common if i % 20 or i % 2 else odd + common) for _ in range(rng.randint(60, 300))), "en") for i in range(400)]
+    got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    texts = [r for r in got if not r["rules"]["base_failed"]]
+    middle = lambda values, bins: (sorted(int(v * bins) for v in values)[(len(values) + 1) // 2 - 1] + 0.5) / bins
+    median = middle([r["rules"]["chars_per_token"] for r in texts], quality_rules.BINS)
+    far = [abs(r["rules"]["chars_per_token"] - median) * r["rules"]["n_tokens"] ** 0.5 for r in texts]
+    error = 1.4826 * middle(far, quality_rules.DISTANCE_BINS)
+    rejected = {r["row"]["doc_id"] for r, d in zip(texts, far, strict=True) if d > 6 * error and abs(r["rules"]["chars_per_token"] - median) > 0.05 * median}
+    assert {r["row"]["doc_id"] for r in texts if not r["kept"]} == rejected
+    assert rejected
+    assert all(i % 20 == 0 for i in rejected)
+    few = quality_rules.judge(spark.createDataFrame(rows[:90], "doc_id long, text string, lang string"))
+    assert few.where("errors is not null").count() == 0
 
 
 def test_classifier(spark, clashing, nothing):
