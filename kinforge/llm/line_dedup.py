@@ -51,7 +51,7 @@ class Runs:
     def __init__(self, spark, least_docs: int, fanout: int = FANOUT):
         self.spark, self.least_docs, self.fanout = spark, least_docs, fanout
         self.levels: list[list[DataFrame]] = []
-        self.settled: DataFrame | None = None
+        self.settled = spark.range(0).select(F.col("id").alias("h1"), F.col("id").alias("h2"))
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.tables: list[str] = []
 
@@ -64,9 +64,7 @@ class Runs:
     def add(self, keys: DataFrame) -> None:
         """keys: h1, h2, a row for each document that has the key. Their batch becomes a run."""
         counted = keys.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-        if self.settled is not None:
-            counted = counted.join(self.settled, ["h1", "h2"], "left_anti")
-        self._push(0, self._write(counted))
+        self._push(0, self._write(counted.join(self.settled, ["h1", "h2"], "left_anti")))
 
     def _push(self, level: int, run: DataFrame) -> None:
         if len(self.levels) == level:
@@ -85,7 +83,7 @@ class Runs:
             rows = rows.select("h1", "h2", (F.coalesce("a", F.lit(0)) + F.coalesce("b", F.lit(0))).alias("n"))
         merged = self._write(rows)
         found = merged.where(F.col("n") >= self.least_docs).select("h1", "h2")
-        self.settled = self._write(found if self.settled is None else self.settled.unionByName(found))
+        self.settled = self._write(self.settled.unionByName(found))
         return merged.where(F.col("n") < self.least_docs)
 
     def finish(self) -> DataFrame:
@@ -93,7 +91,10 @@ class Runs:
         rest = [run for level in self.levels for run in level]
         if rest:
             self._merge(rest)
-        return self.settled if self.settled is not None else self.spark.createDataFrame([], "h1 long, h2 long")
+        found = stage(self.settled, "settled-keys")
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        return found
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, least_chars: int, batches: int) -> DataFrame:

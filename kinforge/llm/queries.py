@@ -38,7 +38,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
-    turns = turns.unionByName(spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema))
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = turns.unionByName(own)
     back = chat_format.read_back(chat_format.format_conversations(turns))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
@@ -62,7 +63,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"]).select("row.doc_id", "rules.*")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"]).select("row.doc_id", "rules.*", "errors", "kept")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +112,25 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM r GROUP BY conv_id""",
+    # the synthetic pages hold their text in one article element of paragraphs and a heading
+    "op6_html_extraction": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS inside FROM pages),
+             b AS (SELECT page_id, url, list_transform(string_split_regex(replace(regexp_replace(inside, '</?b>', '', 'g'), '<br>', ' '), '</?(?:p|h1)>'),
+                     lambda x: trim(regexp_replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS blocks FROM a),
+             t AS (SELECT page_id, url, coalesce(array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)), '') AS text FROM b)
+        SELECT page_id, url, text, length(text) AS n_chars FROM t""",
+    "op8_minhash_near_dedup": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+             s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])
+                                                       WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE CAST([] AS VARCHAR[]) END) AS shingle FROM w),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+             l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+             e AS (SELECT x AS a, y AS b FROM l UNION ALL SELECT y, x FROM l),
+             r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+             m AS (SELECT a, min(b) AS least FROM r GROUP BY a),
+             o AS (SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.least, d.doc_id)) AS component_id FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.a = d.doc_id)
+        SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM o""",
     "op10_url_filter": f"""
         WITH u AS (SELECT page_id, {_LOWER.format("regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1)")} AS host,
                           regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
