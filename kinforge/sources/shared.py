@@ -7,6 +7,8 @@ own is set once for the session.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,9 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="kinforge-")
+        own = tempfile.mkdtemp(prefix="kinforge-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = f"file://{own}"
         spark.conf.set(SETTING, folder)
     return folder.rstrip("/")
 

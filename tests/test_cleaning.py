@@ -103,3 +103,20 @@ def test_pipeline_and_rollback(spark, tmp_path):
         assert not [p for p in out.iterdir() if p.name.startswith(".")]
     run_cleaning_pipeline(spark, tmp_path / "in", out, ["train"])
     assert (out / "test" / "test_source1.tsv").exists()
+
+
+def test_line_numbers_over_many_splits(spark, tmp_path):
+    from kinforge.sources import tsv
+
+    path = write(tmp_path / "s.tsv", *[f"S1-{i}\t{'x' * (i % 37)}\ta\tUS" for i in range(500)])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    try:
+        rows = tsv.read_raw(spark, str(path))
+        assert rows.rdd.getNumPartitions() > 3
+        assert {r["entity_id"]: r["line"] for r in rows.collect()} == {f"S1-{i}": i + 2 for i in range(500)}
+        out = tmp_path / "again.tsv"
+        tsv.write_lines(tsv.lines(spark, str(path)), "line", out, HEADER)
+        assert out.read_bytes() == path.read_bytes()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
