@@ -64,3 +64,9 @@ class Blocking:
         if self.config.allow_missing_country_fallback:
             found += [self.missing_country(), self.global_fallback()]
         return stage(passes.merge(*found), "pairs")
+
+
+def candidates_for(record: tuple[str, str, str, str], candidates: DataFrame, config: BlockingConfig) -> dict[str, int]:
+    """Candidate ids and masks of one normalized record: id, name, address, country."""
+    row = candidates.sparkSession.createDataFrame([("S1", *record)], "source string, entity_id string, name string, address string, country string")
+    return {r["cand_id"]: r["provenance"] for r in Blocking(row.unionByName(candidates), config).pairs.collect()}

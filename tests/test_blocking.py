@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinforge.operators import evaluation, passes, ranking
-from kinforge.plans.blocking import Blocking
+from kinforge.operators.store import CandidateStore
+from kinforge.plans.blocking import Blocking, candidates_for
 from kinforge.schema import PROVENANCE, BlockingConfig
 
 RECORD = "source string, entity_id string, name string, address string, country string"
@@ -150,3 +151,23 @@ def test_empty_tables(spark):
     b = block(spark, [])
     assert b.pairs.count() == 0
     assert b.blocks().events().count() == 0
+
+
+def test_store(spark, tmp_path):
+    store = CandidateStore(spark, str(tmp_path / "store"))
+    assert store.pairs().count() == 0
+    schema = "s1_id string, source string, cand_id string, provenance int"
+    store.add(spark.createDataFrame([("S1-1", "S2", "S2-1", 1), ("S1-1", "S3", "S3-1", 4)], schema))
+    store.add(spark.createDataFrame([("S1-1", "S2", "S2-1", 2), ("S1-2", "S2", "S2-9", 16)], schema))
+    for _ in range(2):
+        assert {(r["s1_id"], r["cand_id"]): r["provenance"] for r in store.pairs().collect()} == {("S1-1", "S2-1"): 3, ("S1-1", "S3-1"): 4, ("S1-2", "S2-9"): 16}
+        told = store.diagnostics()
+        assert (told["total_candidate_pairs"], told["candidate_pairs_by_source"], told["provenance_breakdown"]["rare_name_token"]) == (3, {"S2": 2, "S3": 1}, 1)
+        store.compact()
+    assert store.s1_ids().count() == 2
+    assert store.capped(1).count() == 3
+
+
+def test_one_record(spark):
+    stored = spark.createDataFrame([s2(1, "omega works"), s2(2, "delta")], RECORD)
+    assert candidates_for(("S1-1", "omega works", "", "us"), stored, BlockingConfig()) == {"S2-1": PROVENANCE["exact_name"] | PROVENANCE["rare_name_token"] | PROVENANCE["compact_char_ngram"]}
