@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .arrow_text import TokenMemory, map_texts, spread, whole_row
+from .arrow_text import TokenMemory, lists_to_flat, map_texts, spread, whole_row
 from .bpe import PairTable, merge_rows
 from .staging import stage
 
@@ -40,8 +40,8 @@ REMEMBERED = 400_000
 
 #: What the vocabulary's file cuts lowered text into, and the single spaces that words are joined by here.
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+| ")
-#: Words that lower() and NFC treat letter by letter, and that hold no special token.
-_PLAIN = regex.compile(r"(?!.*<\|)[\x00-\u012F\u0131-\u024F]*", regex.S)
+#: What lower() and NFC may not treat letter by letter, and where special tokens begin.
+_ODD = regex.compile(r"[^\x00-\u012F\u0131-\u024F]|<\|")
 
 
 class Words:
@@ -77,31 +77,41 @@ class Words:
         return Tokenizer.from_file(self.path)
 
     def _merge(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        raw = [p.encode() for p in pieces]
+        """The space, which separates words here, has no ids."""
+        raw = ["" if p == " " else p for p in pieces] if " " in pieces else pieces
+        raw = [p.encode() for p in raw]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
         ids = self.first[0, data]
-        ends = np.cumsum(lengths) - 1
+        ends = (np.cumsum(lengths) - 1)[lengths > 0]
         ids[ends] = self.first[1, data[ends]]
         return merge_rows(self.pairs, ids, lengths)
 
+    def _plain(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words joined by spaces, and each word's number of ids."""
+        pieces = _CUT.findall(text.lower())
+        codes, space = self.piece_memory.codes([pieces, [" "]])
+        word = np.cumsum(codes == space)
+        sizes = np.bincount(word, weights=self.piece_memory.lengths[codes], minlength=text.count(" ") + 1).astype(np.int64)
+        return self.piece_memory.ids_of(codes), sizes
+
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        texts = [w.decode() for w in words]
-        plain = np.fromiter((_PLAIN.fullmatch(t) is not None for t in texts), bool, len(texts))
-        pieces = _CUT.findall(" ".join([t for t, p in zip(texts, plain.tolist(), strict=True) if p]).lower())
-        at = np.fromiter((p == " " for p in pieces), bool, len(pieces))
-        codes = self.piece_memory.codes([[p for p in pieces if p != " "]])[0]
-        word_of = np.flatnonzero(plain)[np.cumsum(at)[~at]] if len(codes) else np.zeros(0, np.int64)
-        sizes = np.bincount(word_of, weights=self.piece_memory.lengths[codes], minlength=len(words)).astype(np.int64)
-        other = np.flatnonzero(~plain)
-        ids = [e.ids for e in self.model.encode_batch([texts[i] for i in other.tolist()], add_special_tokens=False)] if len(other) else []
-        sizes[other] = list(map(len, ids))
+        text = b" ".join(words).decode()
+        if not _ODD.search(text):
+            return self._plain(text)
+        texts = text.split(" ")
+        odd = np.fromiter((_ODD.search(t) is not None for t in texts), bool, len(texts))
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        mine, other = np.flatnonzero(~odd), np.flatnonzero(odd)
+        flat = np.zeros(0, np.int32)
+        if len(mine):
+            flat, sizes[mine] = self._plain(" ".join([texts[i] for i in mine.tolist()]))
+        ids, sizes[other] = lists_to_flat([e.ids for e in self.model.encode_batch([texts[i] for i in other.tolist()], add_special_tokens=False)])
         starts = np.cumsum(sizes) - sizes
-        flat = np.zeros(int(sizes.sum()), dtype=np.int32)
-        mine = np.flatnonzero(plain)
-        flat[spread(starts[mine], sizes[mine])] = self.piece_memory.ids_of(codes)
-        flat[spread(starts[other], sizes[other])] = np.fromiter((i for x in ids for i in x), np.int32)
-        return flat, sizes
+        out = np.zeros(int(sizes.sum()), dtype=np.int32)
+        out[spread(starts[mine], sizes[mine])] = flat
+        out[spread(starts[other], sizes[other])] = ids
+        return out, sizes
 
     def forget(self) -> None:
         self.memory.reset()
