@@ -19,6 +19,9 @@ class Blocking:
     """
 
     def __init__(self, records: DataFrame, config: BlockingConfig):
+        cores = records.sparkSession.sparkContext.defaultParallelism
+        if records.rdd.getNumPartitions() < cores:  # a small input in few pieces: keys are cut by all cores
+            records = records.repartition(cores)
         self.records, self.config = stage(records, "records"), config
         records = self.records
         self.s1 = records.where("source = 'S1'")
