@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from .arrow_text import TokenMemory, lists_to_flat, map_texts, spread, whole_row
+from .arrow_text import TokenMemory, lists_to_flat, map_texts, small_batches, spread, whole_row
 from .bpe import PairTable, merge_rows
 from .staging import stage
 
@@ -242,7 +242,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and ids on demand."""
     pieces = tokenise(docs, id_col, text_col, capacity, path).withColumn("ids_crc32", F.crc32("ids"))
-    return pack(stage(pieces if with_ids else pieces.drop("ids"), "pieces"), capacity)
+    with small_batches(docs.sparkSession):
+        staged = stage(pieces if with_ids else pieces.drop("ids"), "pieces")
+    return pack(staged, capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .arrow_text import map_texts, mix, span_hashes, text_buffers, whole_row, word_bounds
+from .arrow_text import map_texts, mix, small_batches, span_hashes, text_buffers, whole_row, word_bounds
 
 BITS = 18
 #: Labelled rows that are learnt from, at most.
@@ -91,7 +91,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (place.astype(np.int32), value.astype(np.float32))]
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), *lists], names=["id", "label", "place", "value"])
 
-    rows = map_texts(texts, kernel, StructType([texts.schema["id"], texts.schema["label"]]).simpleString()[7:-1].replace(":", " ") + ", place array<int>, value array<float>", "text").toArrow()
+    with small_batches(docs.sparkSession):
+        rows = map_texts(texts, kernel, StructType([texts.schema["id"], texts.schema["label"]]).simpleString()[7:-1].replace(":", " ") + ", place array<int>, value array<float>", "text").toArrow()
     rows = rows.take(pc.sort_indices(rows, sort_keys=[("id", "ascending")]))
     order = np.random.default_rng(7).permutation(rows.num_rows)
     place, value, label = (rows.column(c).combine_chunks() for c in ("place", "value", "label"))

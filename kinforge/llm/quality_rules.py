@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from .arrow_text import TokenMemory, lists_to_flat, map_texts, mix, span_hashes, text_buffers, whole_row, word_bounds
+from .arrow_text import TokenMemory, lists_to_flat, map_texts, mix, small_batches, span_hashes, text_buffers, whole_row, word_bounds
 from .staging import stage
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -208,7 +208,8 @@ def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
         return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), measure(batch.column("text"), vocabulary)], names=["row", "lang", "rules"])
 
     schema = StructType([rows.schema["row"], rows.schema["lang"], StructField("rules", StructType.fromDDL(MEASURES))])
-    measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
+    with small_batches(docs.sparkSession):
+        measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
     bands = stage(_language_bands(measured), "fertility-bands")
     shift = F.col("rules.chars_per_token") - F.col("median")
     out = (F.abs(shift) * F.sqrt("rules.n_tokens") > F.col("error") * MOST_ERRORS) & (F.abs(shift) > F.col("median") * LEAST_SHIFT)
