@@ -7,10 +7,11 @@ measured: code points per token, share of byte-fallback tokens, and the entropy
 of band reject:
 
 * per script (that of most letters), fixed outer bands for each measure (``BANDS``);
-* per language, a band around what its texts need: the median of code points per token over all texts of the
-  corpus that pass the base rule, and the typical size of a text's distance from it, times the root of its
-  tokens. A text is out of the band if it is over ``MOST_ERRORS`` such errors and ``LEAST_SHIFT`` of the median
-  away. Both statistics are read off exact histograms. A language of under ``LEAST_TEXTS`` such texts has only
+* per language, a band around what its texts need: the median of code points per token over the distinct texts
+  of the corpus that pass the base rule (copies count once, by text hash), and the typical size of a text's
+  distance from it, times the root of its tokens, ``LEAST_ERROR`` at least, so that a group of near copies does
+  not close the band. A text is out of the band if it is over ``MOST_ERRORS`` such errors and ``LEAST_SHIFT`` of
+  the median away. Both statistics are read off exact histograms. A language of under ``LEAST_TEXTS`` such texts has only
   the outer bands; a null language is the script's.
 
 Repeated words are found by 64-bit hashes of the words; equal words always have equal hashes.
@@ -49,6 +50,8 @@ BANDS = {
 _RUNS = ((0xBF, "other"), (0x24F, "latin"), (0x36F, "other"), (0x3FF, "greek"), (0x52F, "cyrillic"), (0x5FF, "other"), (0x6FF, "arabic"), (0x74F, "other"), (0x77F, "arabic"), (0x1DFF, "other"), (0x1EFF, "latin"), (0x303F, "other"), (0x30FF, "cjk"), (0x33FF, "other"), (0x9FFF, "cjk"), (0xABFF, "other"), (0xD7AF, "cjk"), (0x10FFFF, "other"))
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double, fits boolean"
 MOST_ERRORS, LEAST_SHIFT, LEAST_TEXTS = 6.0, 0.05, 100
+#: Least error of a text of one token, in code points per token; token lengths alone spread by about as much.
+LEAST_ERROR = 0.9
 #: Bins a unit of the histograms of code points per token, and of its scaled distances.
 BINS, DISTANCE_BINS = 1000, 100
 #: Words remembered by a task at most.
@@ -187,11 +190,12 @@ def _median(values: DataFrame, by: str, value: Column, bins: int) -> DataFrame:
 
 def _language_bands(measured: DataFrame) -> DataFrame:
     """key, median, error (of a text of one token) for each language of enough texts."""
-    texts = measured.where("not rules.base_failed").select("key", F.col("rules.chars_per_token").alias("x"), F.col("rules.n_tokens").alias("tokens"))
+    texts = measured.where("not rules.base_failed").select("key", "hash", F.col("rules.chars_per_token").alias("x"), F.col("rules.n_tokens").alias("tokens"))
+    texts = stage(texts.dropDuplicates(["key", "hash"]), "fertility-texts")
     medians = stage(_median(texts, "key", F.col("x"), BINS).where(F.col("n") >= LEAST_TEXTS), "fertility-medians")
     apart = texts.join(medians, "key").select("key", (F.abs(F.col("x") - F.col("median")) * F.sqrt("tokens")).alias("distance"))
     errors = _median(apart, "key", F.col("distance"), DISTANCE_BINS)
-    return medians.select("key", "median").join(errors.select("key", (F.col("median") * 1.4826).alias("error")), "key")
+    return medians.select("key", "median").join(errors.select("key", F.greatest(F.col("median") * 1.4826, F.lit(LEAST_ERROR)).alias("error")), "key")
 
 
 def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, vocabulary: str | None = None, lang_col: str | None = "lang") -> DataFrame:
@@ -202,12 +206,12 @@ def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
 
         vocabulary = public_tokenizers.path(VOCABULARY)
     lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
-    rows = docs.select((whole_row(docs.select(*[F.col(f"`{c}`") for c in carry])) if carry else whole_row(docs)).alias("row"), lang.alias("lang"), F.col(f"`{text_col}`").alias("text"))
+    rows = docs.select((whole_row(docs.select(*[F.col(f"`{c}`") for c in carry])) if carry else whole_row(docs)).alias("row"), lang.alias("lang"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("hash"))
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), measure(batch.column("text"), vocabulary)], names=["row", "lang", "rules"])
+        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), batch.column("hash"), measure(batch.column("text"), vocabulary)], names=["row", "lang", "hash", "rules"])
 
-    schema = StructType([rows.schema["row"], rows.schema["lang"], StructField("rules", StructType.fromDDL(MEASURES))])
+    schema = StructType([rows.schema["row"], rows.schema["lang"], rows.schema["hash"], StructField("rules", StructType.fromDDL(MEASURES))])
     with small_batches(docs.sparkSession):
         measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
     bands = stage(_language_bands(measured), "fertility-bands")

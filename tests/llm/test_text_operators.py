@@ -271,6 +271,22 @@ def test_rules_language_band(spark):
     assert few.where("errors is not null").count() == 0
 
 
+def test_rules_language_band_of_copies(spark):
+    """A third of all rows being copies, or near copies, of one text rejects no other text."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").select("doc_id", "text", "lang")
+    kept = {r["row"]["doc_id"]: r["kept"] for r in quality_rules.judge(rows).collect()}
+    tokens = {r["row"]["doc_id"]: r["rules"] for r in quality_rules.judge(rows).where("kept and rules.n_tokens between 300 and 900").collect()}
+    low = min(tokens, key=lambda i: tokens[i]["chars_per_token"])
+    text = rows.where(F.col("doc_id") == low).first()["text"]
+    many = spark.range(len(kept) // 2).select(F.lit(-1).cast("long").alias("doc_id"), F.lit(text).alias("text"), F.lit("en").alias("lang"))
+    near = many.withColumn("text", F.concat("text", F.lit(" "), F.monotonically_increasing_id().cast("string")))
+    exact = {r["row"]["doc_id"]: r["kept"] for r in quality_rules.judge(rows.unionByName(many)).collect()}
+    assert {i: k for i, k in exact.items() if i >= 0} == kept
+    close = {r["row"]["doc_id"]: r["kept"] for r in quality_rules.judge(rows.unionByName(near)).collect()}
+    good = {r["doc_id"] for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    assert not [i for i in good & set(kept) if kept[i] and not close[i]]
+
+
 def test_classifier(spark, clashing, nothing):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     weights = quality_classifier.train(docs, labels)
