@@ -11,8 +11,9 @@ of band reject:
   of the corpus that pass the base rule (copies count once, by text hash), and the typical size of a text's
   distance from it, times the root of its tokens, ``LEAST_ERROR`` at least, so that a group of near copies does
   not close the band. A text is out of the band if it is over ``MOST_ERRORS`` such errors and ``LEAST_SHIFT`` of
-  the median away. Both statistics are read off exact histograms. A language of under ``LEAST_TEXTS`` such texts has only
-  the outer bands; a null language is the script's.
+  the median away. Both statistics are read off exact histograms. With under ``LEAST_TEXTS`` such texts, n, they
+  are uncertain: the band is wider by the root of ``LEAST_TEXTS`` / n, and ``errors`` is null. A null language is
+  the script's.
 
 Repeated words are found by 64-bit hashes of the words; equal words always have equal hashes.
 
@@ -189,18 +190,18 @@ def _median(values: DataFrame, by: str, value: Column, bins: int) -> DataFrame:
 
 
 def _language_bands(measured: DataFrame) -> DataFrame:
-    """key, median, error (of a text of one token) for each language of enough texts."""
+    """key, median, n, error (of a text of one token) for each language."""
     texts = measured.where("not rules.base_failed").select("key", "hash", F.col("rules.chars_per_token").alias("x"), F.col("rules.n_tokens").alias("tokens"))
     texts = stage(texts.dropDuplicates(["key", "hash"]), "fertility-texts")
-    medians = stage(_median(texts, "key", F.col("x"), BINS).where(F.col("n") >= LEAST_TEXTS), "fertility-medians")
+    medians = stage(_median(texts, "key", F.col("x"), BINS), "fertility-medians")
     apart = texts.join(medians, "key").select("key", (F.abs(F.col("x") - F.col("median")) * F.sqrt("tokens")).alias("distance"))
     errors = _median(apart, "key", F.col("distance"), DISTANCE_BINS)
-    return medians.select("key", "median").join(errors.select("key", F.greatest(F.col("median") * 1.4826, F.lit(LEAST_ERROR)).alias("error")), "key")
+    return medians.join(errors.select("key", F.greatest(F.col("median") * 1.4826, F.lit(LEAST_ERROR)).alias("error")), "key")
 
 
 def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, vocabulary: str | None = None, lang_col: str | None = "lang") -> DataFrame:
     """A row for each row: ``row`` (a struct of the carried columns, all by default), ``rules`` (MEASURES; fits:
-    within the outer bands), ``errors`` (the distance from the language's median) and ``kept``."""
+    within the outer bands), ``errors`` (the distance from the language's median, null with few texts) and ``kept``."""
     if vocabulary is None:
         import public_tokenizers
 
@@ -216,8 +217,9 @@ def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
         measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
     bands = stage(_language_bands(measured), "fertility-bands")
     shift = F.col("rules.chars_per_token") - F.col("median")
-    out = (F.abs(shift) * F.sqrt("rules.n_tokens") > F.col("error") * MOST_ERRORS) & (F.abs(shift) > F.col("median") * LEAST_SHIFT)
-    judged = measured.join(bands, "key", "left").withColumn("errors", shift * F.sqrt("rules.n_tokens") / F.col("error"))
+    wider = F.sqrt(F.greatest(F.lit(1.0), LEAST_TEXTS / F.col("n")))
+    out = (F.abs(shift) * F.sqrt("rules.n_tokens") > F.col("error") * MOST_ERRORS * wider) & (F.abs(shift) > F.col("median") * LEAST_SHIFT)
+    judged = measured.join(bands, "key", "left").withColumn("errors", F.when(F.col("n") >= LEAST_TEXTS, shift * F.sqrt("rules.n_tokens") / F.col("error")))
     return judged.select("row", "rules", "errors", (F.col("rules.fits") & ~F.coalesce(out, F.lit(False))).alias("kept"))
 
 

@@ -287,6 +287,19 @@ def test_rules_language_band_of_copies(spark):
     assert not [i for i in good & set(kept) if kept[i] and not close[i]]
 
 
+def test_rules_language_band_of_few(spark):
+    """A language of a few texts has a band too: it rejects far junk and none of the others, and two texts pass."""
+    rng = random.Random(9)
+    common = [a + b for a in ("house", "water", "little", "people", "other", "garden") for b in ("", "s", "ing", "ed", "ly")]
+    rows = [(i, " ".join(rng.choice(common) for _ in range(400)), "en") for i in range(30)]
+    junk = (99, " ".join(rng.choice(common) if i % 2 else "".join(rng.choice("zqxjkvw") for _ in range(3)) for i in range(1500)), "en")
+    judged = lambda rows: {r["row"]["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    got = judged([*rows, junk])
+    assert got[99]["rules"]["fits"]
+    assert {i for i, r in got.items() if not r["kept"]} == {99}
+    assert all(r["kept"] for r in judged(rows[:2]).values())
+
+
 def test_classifier(spark, clashing, nothing):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     weights = quality_classifier.train(docs, labels)
