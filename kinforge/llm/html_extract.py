@@ -6,7 +6,9 @@ around it, its length, the share of its text inside links. The costs are the cap
 (content) and to the sink (boilerplate). Neighbouring blocks, and blocks that follow each other under one
 parent, are joined by smoothness edges whose capacity falls with the steps between them in the tree. The
 minimum cut, found by maximum flow (shortest augmenting paths in levels), separates content from boilerplate.
-Blocks inside elements that never hold an article (``NEVER``) are tied to the sink.
+Blocks inside elements that never hold an article (``NEVER``) are tied to the sink. Class and id words mark a
+part of the page, so those of a wrapper are no evidence: of an element around the article (the longest unmarked
+article or main, else element of an ``ARTICLE`` word), or around all blocks and not next to any of them.
 
 Defined results: null and empty pages, and pages without content, give an empty text; character references are
 decoded; white space inside a block becomes one space and is trimmed, ``<br>`` counts as white space; blocks are
@@ -20,6 +22,7 @@ from __future__ import annotations
 import html
 import re
 from collections import deque
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,7 +62,7 @@ class Block:
 
 
 class Element:
-    __slots__ = ("article", "bad", "depth", "good", "name", "never", "parent", "skip")
+    __slots__ = ("article", "bad", "depth", "good", "marked", "name", "never", "parent", "root", "skip")
 
     def __init__(self, name: str, parent: Element | None, attributes: str):
         self.name, self.parent = name, parent
@@ -69,6 +72,8 @@ class Element:
         self.article = parent.article if parent else False
         self.bad = parent.bad if parent else False
         self.good = parent.good if parent else False
+        self.root = parent.root if parent else None
+        self.marked = own_good = False
         if name in ("article", "main"):
             self.article = True
         if name in NEVER or (name == "header" and not self.article):
@@ -81,15 +86,42 @@ class Element:
                 if key in ("class", "id"):
                     words = set(_WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
                     if words & BOILERPLATE and name not in ("body", "html", "article", "main"):
-                        self.bad = True
+                        self.bad = self.marked = True
                     elif words & BOILERPLATE & {"comment", "comments", "reply", "replies", "related", "ad", "sponsored"}:
-                        self.bad = True
-                    self.good = self.good or bool(words & ARTICLE)
+                        self.bad = self.marked = True
+                    own_good = own_good or bool(words & ARTICLE)
                 elif key == "role":
                     self.never = self.never or value.lower() in ROLES
                     self.article = self.article or value.lower() in ("main", "article")
                 elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and _HIDDEN.search(value.lower())):
                     self.skip = True
+        self.good = self.good or own_good
+        outermost = self.article and not parent.article
+        if not self.marked and (outermost or (own_good and not self.root and name not in ("html", "body"))):
+            self.root = self
+
+
+def _around(element: Element | None) -> Iterator[Element]:
+    """The element and those around it."""
+    while element:
+        yield element
+        element = element.parent
+
+
+def _wrappers(blocks: list[Block]) -> set[Element]:
+    """The elements around the article or all blocks, whose class and id words are no evidence."""
+    blocks = [b for b in blocks if not b.path.never]
+    words: dict[Element, int] = {}
+    for b in blocks:
+        if b.path.root:
+            words[b.path.root] = words.get(b.path.root, 0) + b.text.count(" ") + 1
+    out: set[Element] = set()
+    if words:
+        # an unmarked one is the article unless one inside marked elements is over four times as long
+        out |= set(_around(max(words, key=lambda e: (e.article, words[e] * (1 if e.bad else 4)))))
+    if blocks:
+        out |= set.intersection(*(set(_around(b.parent)) for b in blocks)) - {b.parent for b in blocks}
+    return out
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -193,7 +225,7 @@ def _steps(a: Element, b: Element) -> int:
     return n
 
 
-def _score(block: Block, has_article: bool) -> float:
+def _score(block: Block, has_article: bool, wrappers: set[Element]) -> float:
     path = block.path
     if path.never:
         return -NEVER_COST
@@ -205,7 +237,7 @@ def _score(block: Block, has_article: bool) -> float:
         score += COSTS["outside_article"]
     if path.good:
         score += COSTS["article_word"]
-    if path.bad:
+    if path.bad and any(e.marked and e not in wrappers for e in _around(path)):
         score += COSTS["boilerplate_word"]
     if path.name[:1] == "h" and path.name[1:].isdigit():
         score += COSTS["heading"]
@@ -283,10 +315,11 @@ def content(page: str) -> str:
     if not blocks:
         return ""
     has_article = any(b.path.article for b in blocks)
+    wrappers = _wrappers(blocks) if any(b.path.bad for b in blocks) else set()
     cut = Cut(len(blocks))
     before: dict[int, int] = {}
     for i, block in enumerate(blocks):
-        score = _score(block, has_article)
+        score = _score(block, has_article, wrappers)
         if score > 0:
             cut.join(cut.source, i, score, 0.0)
         else:

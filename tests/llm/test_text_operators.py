@@ -149,6 +149,16 @@ def test_html(around):
     assert html_extract.content(PAGE % (around % BODY)) == MAIN
 
 
+@pytest.mark.parametrize("wrapper", ['class="layout has-sidebar"', 'id="with-comments"', 'class="social-policy"'])
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main><div class='x'>%s</div></main>", "<div class='post-content'>%s</div>"])
+def test_html_marked_wrapper(wrapper, around):
+    related = "<div class='related'><article><p>Another article with a few words of its own.</p></article></div>"
+    assert html_extract.content(PAGE % f"<div {wrapper}>{around % BODY}</div>") == MAIN
+    assert html_extract.content(f"<body><div {wrapper}><div>{around % BODY}</div></div>") == MAIN
+    if "post-content" not in around:
+        assert html_extract.content(PAGE % f"<div {wrapper}>{around % BODY}{related}</div>") == MAIN
+
+
 def test_html_cases(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<p"), (4, "u", "<script>if (a < b)"), (5, "u", "<article><p>x</p></article>"), (6, "u", "<article>" + "<p>word</p>" * 3000 + "</article>"), (7, "u", "<article>" + "y " * 200_000), (8, "u", "<article><p>&lt;a&gt; &#x41;&bogus; <!-- c --></article>")]
     pages.append(pages[4])
