@@ -40,8 +40,10 @@ REMEMBERED = 400_000
 
 #: What the vocabulary's file cuts lowered text into, and the single spaces that words are joined by here.
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+| ")
-#: What lower() and NFC may not treat letter by letter, and where special tokens begin.
-_ODD = regex.compile(r"[^\x00-\u012F\u0131-\u024F]|<\|")
+#: Code points below this go through matrices, but for those in _ODD.
+_LATIN_END = 0x250
+#: What lower() and NFC may not treat letter by letter or take beyond _LATIN_END, and where special tokens begin.
+_ODD = regex.compile("[^" + "".join(regex.escape(c) for c in map(chr, range(_LATIN_END)) if len(c.lower()) == 1 and ord(c.lower()) < _LATIN_END) + r"]|<\|")
 
 
 class Words:
@@ -62,7 +64,7 @@ class Words:
         self.pairs = PairTable(*np.array([(vocabulary[a], vocabulary[b], c) for (a, b), c in zip(merges, merged, strict=True)], dtype=np.int64).T)
         shown = ByteLevel(add_prefix_space=False, use_regex=False)
         self.first = np.zeros((2, 256), dtype=np.int32)  # ids of bytes inside a piece, and at its end
-        for c in map(chr, range(0x250)):
+        for c in map(chr, range(_LATIN_END)):
             for byte, letter in zip(c.encode(), shown.pre_tokenize_str(c)[0][0], strict=True):
                 self.first[:, byte] = vocabulary[letter], vocabulary[letter + model["end_of_word_suffix"]]
         self.piece_memory = TokenMemory(self._merge, REMEMBERED // 2)

@@ -67,7 +67,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, carry=["page_id"]).select("row.page_id", "host", "path", "rule", "verdict")
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, carry=["page_id"]).select("row.page_id", "host", "path", "rule", "verdict", "pattern")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -136,6 +136,10 @@ ORACLES: dict[str, str] = {
                           regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM pages),
              r(h, p, v) AS (VALUES {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)}),
              m AS (SELECT page_id, host, path, h || p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) AS k
-                   FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
-        SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1""",
+                   FROM u LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+             g(pattern, word, place) AS (VALUES {", ".join(f"('{h}', '{v}', {i})" for i, (h, _, v) in enumerate(url_filter.FALLBACK))}),
+             f AS (SELECT host, pattern, word, row_number() OVER (PARTITION BY host ORDER BY length(pattern) DESC, place) AS k
+                   FROM (SELECT DISTINCT host FROM m WHERE k = 1 AND rule IS NULL) JOIN g ON ('.' || host) GLOB ('*.' || pattern))
+        SELECT page_id, m.host, path, rule, coalesce(v, word, 'allow') AS verdict, pattern
+        FROM m LEFT JOIN f ON f.host = m.host AND f.k = 1 AND rule IS NULL WHERE m.k = 1""",
 }

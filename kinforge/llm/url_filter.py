@@ -1,16 +1,21 @@
 """URL filters by a bit-parallel wildcard automaton.
 
-A rule (host, path, verdict) fits its host and all subdomains where the path starts with the rule's; as a glob
-over ``.host/path`` it is ``*.host`` path ``*``, with a leading ``*`` that never crosses into the path. All globs
-are packed side by side into words of 64 bits, one bit for each of their characters. For a block of URLs the
-state is a matrix (URLs x words); each character moves all patterns of all URLs at once:
-``D = (((D << 1) | first) & accept[c]) | (D & stay[c])``, where stay holds the places of leading stars for the
-characters of a host and the places of ended patterns for every character.
+A rule is a host glob, a path glob and a verdict: ``*`` stands for any run of characters and ``?`` for one character
+of its own part (a star of the host never reaches into the path). A rule fits the hosts and all their subdomains
+where the path starts with the path's glob; as one glob over ``.host/path`` it is ``*.host`` path ``*``. All globs
+are packed side by side into words of 64 bits, one bit for each of their characters. For a block of URLs the state
+is a matrix (URLs x words); each character moves all patterns of all URLs at once:
+``D = (((D << 1) | first) & accept[c]) | (D & stay[c])``, where stay holds the places of stars, for the bytes of
+their part, and the places of ended patterns, for every byte.
+
+Of the rules that fit the longest wins (by the characters of its globs), at equal lengths the first. Where no rule
+fits, the same automaton's ``fallback`` globs decide likewise, by default ``FALLBACK``: hosts with a label that names
+gambling, adult content, advertising, spam or counterfeit drugs are blocked; all others get ``default``.
 
 Defined results: host is what stands after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lowered;
-path is what follows up to ``?``, ``#`` or the end; both are empty for null or no ``://``. Of the rules that fit
-the longest wins, at equal lengths the first; without one, rule is null and the verdict ``default``. Rows that
-repeat are judged alike; an empty table gives an empty result; other columns are carried.
+path is what follows up to ``?``, ``#`` or the end; both are empty for null or no ``://``, and no rule with a host
+fits them. Without a fitting rule ``rule`` is null. Whole URLs are read, however long; rows that repeat are judged
+alike; an empty table gives an empty result; other columns are carried.
 """
 
 from __future__ import annotations
@@ -29,29 +34,57 @@ BLOCK = 4096
 SLASH_OF_PATH = 0
 
 
+#: Words that, at the start of a host's label, tell what a corpus of text does without.
+BLOCKED_LABELS = "adserver ads adult bet bets betting casino cheap-pills escort free-bets gambling lottery malware phishing pills poker porn replica-watches sex-cam slots spam sportsbook torrent tracker viagra warez webcam-girls xxx".split()
+
+
+def label_globs(words: list[str]) -> list[tuple[str, str, str]]:
+    """Rules that block hosts with a label that is a word, or starts with it and a hyphen."""
+    return [(glob, "", "block") for w in words for glob in (f"{w}.*", f"{w}-*")]
+
+
+FALLBACK = label_globs(BLOCKED_LABELS)
+
+
+def _elements(host: str, path: str) -> list[tuple[str, str | int]]:
+    """What a rule is made of, in order: ("byte", value), ("one", "") or ("star", part)."""
+    out: list[tuple[str, str | int]] = [("star", "host"), ("byte", ord("."))]
+    for part, glob in (("host", host.lower()), ("path", path)):
+        for c in glob:
+            out += [("star", part)] if c == "*" else [("one", part)] if c == "?" else [("byte", b) for b in c.encode()]
+        out += [("byte", SLASH_OF_PATH)] if part == "host" else [("star", "path")]
+    return out
+
+
 class ShiftAnd:
     """All rules as one automaton over bytes: b'.' + host, the byte SLASH_OF_PATH, path."""
 
     def __init__(self, rules: list[tuple[str, str]]):
-        patterns = [b"." + host.encode().lower() + bytes([SLASH_OF_PATH]) + path.encode() for host, path in rules]
-        bits = sum(len(p) + 1 for p in patterns)
+        globs = [_elements(host, path) for host, path in rules]
+        bits = sum(1 + sum(kind != "star" for kind, _ in g) for g in globs)
         self.words = max(1, -(-bits // 64))
         accept = np.zeros((256, self.words * 64), dtype=bool)
         stay = np.zeros_like(accept)
-        self.first = np.zeros(self.words * 64, dtype=bool)
+        first = np.zeros((1, self.words * 64), dtype=bool)
         self.finals: list[int] = []
         at = 0
-        for p in patterns:
-            # place `at` is the leading star; it stays set through the host
-            stay[:, at] = True
-            stay[SLASH_OF_PATH, at] = False
-            for k, c in enumerate(p):
-                accept[c, at + 1 + k] = True
-            stay[:, at + len(p)] = True  # the trailing star
-            self.first[at] = True
-            self.finals.append(at + len(p))
-            at += len(p) + 1
-        self.accept, self.stay, self.start = (self._pack(x) for x in (accept, stay, self.first[None]))
+        for glob in globs:
+            first[0, at] = True
+            for kind, value in glob:
+                if kind == "star":  # what stands before the star holds on
+                    stay[:, at] = True
+                    stay[SLASH_OF_PATH, at] = stay[SLASH_OF_PATH, at] and value == "path"
+                    continue
+                at += 1
+                if kind == "byte":
+                    accept[value, at] = True
+                else:  # one character: its first byte, and those that continue it
+                    accept[:0x80, at] = accept[0xC0:, at] = True
+                    accept[SLASH_OF_PATH, at] = False
+                    stay[0x80:0xC0, at] = True
+            self.finals.append(at)
+            at += 1
+        self.accept, self.stay, self.start = (self._pack(x) for x in (accept, stay, first))
         self.start = self.start[0]
 
     def _pack(self, bits: np.ndarray) -> np.ndarray:
@@ -90,11 +123,14 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url", default: str = "allow", carry: list[str] | None = None) -> DataFrame:
-    """``row`` (a struct of the carried columns, all by default), host, path, rule (host then path of the rule)
-    and verdict. rules: host, path and verdict each."""
-    automaton = ShiftAnd([(h, p) for h, p, _ in rules])
-    order = sorted(range(len(rules)), key=lambda i: (-len(rules[i][0]) - len(rules[i][1]), i))
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url", default: str = "allow", carry: list[str] | None = None, fallback: list[tuple[str, str, str]] = FALLBACK) -> DataFrame:
+    """``row`` (a struct of the carried columns, all by default), host, path, rule (host then path of the rule),
+    verdict, and pattern (host then path of the fallback glob that decided, else null). rules and fallback: host
+    glob, path glob and verdict each."""
+    both = [*rules, *fallback]
+    automaton = ShiftAnd([(h, p) for h, p, _ in both])
+    size = lambda i: len(both[i][0]) + len(both[i][1])
+    order = sorted(range(len(both)), key=lambda i: (i >= len(rules), -size(i), i))
     row = whole_row(pages.select(*[F.col(f"`{c}`") for c in carry])) if carry else whole_row(pages)
     rows = pages.select(row.alias("row"), host_of(F.col(f"`{url_col}`")).alias("host"), path_of(F.col(f"`{url_col}`")).alias("path"))
     rows = rows.withColumn("at", F.concat(F.lit("."), F.col("host"), F.lit("\0"), F.col("path")))
@@ -109,8 +145,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "u
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "host", "path")), pa.array(best)], names=["row", "host", "path", "best"])
 
     judged = map_texts(rows, kernel, StructType([*(rows.schema[c] for c in ("row", "host", "path")), StructField("best", IntegerType())]), "at")
-    table = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("best") + 1)
-    hit = F.col("best") >= 0
-    names = F.when(hit, table([h + p for h, p, _ in rules])) if rules else F.lit(None).cast("string")
-    verdicts = F.when(hit, table([v for *_, v in rules])).otherwise(F.lit(default)) if rules else F.lit(default)
-    return judged.select("row", "host", "path", names.alias("rule"), verdicts.alias("verdict"))
+    table = lambda values: F.get(F.array(*[F.lit(v).cast("string") for v in values]), F.col("best")) if values else F.lit(None).cast("string")
+    names = [h + p for h, p, _ in both]
+    rule = table([n if i < len(rules) else None for i, n in enumerate(names)])
+    pattern = table([n if i >= len(rules) else None for i, n in enumerate(names)])
+    return judged.select("row", "host", "path", rule.alias("rule"), F.coalesce(table([v for *_, v in both]), F.lit(default)).alias("verdict"), pattern.alias("pattern"))

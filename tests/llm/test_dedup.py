@@ -37,8 +37,8 @@ def test_exact(spark, documents, nothing, clashing):
 
 def test_exact_nulls(spark):
     rows = spark.createDataFrame([(None, "a"), (None, "a"), (1, "A"), (None, "alone"), (2, None), (3, "")], "doc_id long, text string")
-    got = {(r["id"], r["text_sha256"][:4]): (r["keep_id"], r["group_size"]) for r in exact_dedup.annotate(rows).collect()}
-    assert sorted(got.values(), key=str) == sorted([(1, 3), (1, 3), (None, 1), (3, 2), (3, 2)], key=str) or len(got) == 5
+    got = [(r["keep_id"], r["group_size"]) for r in exact_dedup.annotate(rows).collect()]
+    assert sorted(got, key=str) == sorted([(1, 3), (1, 3), (1, 3), (None, 1), (3, 2), (3, 2)], key=str)
     assert sorted((r["doc_id"] or 0, r["text"]) for r in exact_dedup.dedupe(rows).collect()) == [(0, "alone"), (1, "A"), (3, "")]
 
 

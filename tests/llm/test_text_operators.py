@@ -2,6 +2,7 @@ import base64
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -110,9 +111,52 @@ def test_plan(counts):
             at += length
         assert at <= 30
         assert sum(3 * length > 30 for _, length in spans) <= 2
-    total = sum(a * b for a, b in counts.items())
-    large = sum(n for length, n in counts.items() if 2 * length > 30)
-    assert len(bins) <= 1.3 * max(-(-total // 30), large) + 2
+    assert len(bins) >= -(-sum(a * b for a, b in counts.items()) // 30)
+
+
+def fewest(lengths, capacity):
+    """The fewest bins, by trying every bin for each piece in turn."""
+    lengths = sorted(lengths, reverse=True)
+    best = len(lengths)
+
+    def put(k, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if k == len(lengths):
+            best = len(bins)
+            return
+        for i in {room: i for i, room in enumerate(bins) if room >= lengths[k]}.values():
+            put(k + 1, [*bins[:i], bins[i] - lengths[k], *bins[i + 1 :]])
+        put(k + 1, [*bins, capacity - lengths[k]])
+
+    put(0, [])
+    return best
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=9))
+def test_plan_against_optimum(lengths):
+    """On small inputs at most one bin more than the fewest, and the fewest where all pieces are large."""
+    rows = packing.plan(Counter(lengths), 30)
+    bins = set()
+    for length, n in Counter(lengths).items():
+        own = rows[rows[:, 0] == length]
+        for k in range(n):
+            _, first, base, each, _ = own[np.searchsorted(own[:, 1], k, side="right") - 1].tolist()
+            bins.add(base + (k - first) // each)
+    best = fewest(lengths, 30)
+    assert best <= len(bins) <= best + 1
+    if all(2 * x > 30 or 3 * x > 30 for x in lengths) and sum(3 * x > 30 for x in lengths) == len(lengths):
+        assert len(bins) == best
+
+
+def test_words_of_every_latin_letter():
+    """The vocabulary's own library agrees on every code point that goes through the matrices."""
+    words = packing._words(P.path("word_bpe_49k.json"))
+    for c in map(chr, range(0x250)):
+        text = f"a{c}b {c} {c}{c}1 {c}'s x{c} {c}x 's{c} <{c}|"
+        assert words.encode([text.encode()])[0].tolist() == words.model.encode(text, add_special_tokens=False).ids, repr(c)
 
 
 def test_chat(spark):
@@ -203,13 +247,19 @@ def judged(url):
     m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
     host, path = (m[1].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")), m[2]) if m else ("", "")
     fits = [(len(h + p), h + p, v) for h, p, v in RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    _, rule, verdict = max(fits, default=(0, None, "allow"))
+    _, rule, verdict = max(fits, default=(0, None, "block" if blocked(host) else "allow"))
     return host, path, rule, verdict
 
 
+def blocked(host):
+    """Whether some label, not the last, is a blocked word, or some label starts with one and a hyphen."""
+    labels = host.split(".")
+    return any(x.startswith(f"{w}-") or (x == w and k + 1 < len(labels)) for k, x in enumerate(labels) for w in url_filter.BLOCKED_LABELS)
+
+
 def test_urls(spark):
     rng = random.Random(5)
-    parts = ["com", "net", "example", "www", ".", ".", "/", "/", "en", "es", "fr", "?", "#", "://", "É", "EXAMPLE.com", "/en/", "x\n"]
+    parts = ["com", "net", "example", "www", ".", ".", "/", "/", "en", "es", "fr", "?", "#", "://", "É", "EXAMPLE.com", "/en/", "x\n", "casino", "ads-", "bets", "xxx."]
     urls = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(400)] + ["http://" + "".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(800)]
     urls += [None, "", "http://", "http://com/", "http://xcom/", "https://a.net/es/b", "http://a.org/.example.com/en/", "http://com", "http://www.example.com/en/" + "a" * 70_000, "http://a.com/\0net/es/"]
     frame = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string").withColumn("best", F.lit(1))
@@ -221,6 +271,18 @@ def test_urls(spark):
     assert url_filter.judge(frame.limit(0), RULES).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.text("ab.*?é", max_size=5), st.text("ab/*?é", max_size=5)), min_size=1, max_size=30), st.lists(st.tuples(st.text("ab.é", max_size=7), st.text("ab/é", max_size=7)), min_size=1, max_size=8))
+def test_url_globs(globs, urls):
+    """The automaton against regular expressions."""
+    spell = lambda glob: "".join(".*" if c == "*" else "." if c == "?" else re.escape(c) for c in glob)
+    automaton = url_filter.ShiftAnd(globs)
+    got = automaton.fits([f".{h}\0{p}".encode() for h, p in urls])
+    for k, (h, p) in enumerate(urls):
+        expected = [re.fullmatch(rf"(?s)(.*\.)?{spell(a)}", h) is not None and re.match(rf"(?s){spell(b)}", p) is not None for a, b in globs]
+        assert got[k].tolist() == expected, (globs, h, p)
+
+
 def test_rules(spark, documents, clashing, nothing):
     got = quality_rules.judge(documents).collect()
     assert len(got) == documents.count()
