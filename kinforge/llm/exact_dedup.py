@@ -1,33 +1,30 @@
 """Exact dedup by two passes of Bloom filtering; DataFrame functions only.
 
-Pass 1 counts the rows of each cell of a filter of ``CELLS`` counters that is dealt out over the executors
-(only cell numbers shuffle, pre-aggregated). Cells with two or more rows go into a compact Bloom filter of
-bounded size. Pass 2 tests each row's cell: rows that miss are the only ones of their text and pass straight
-through; the others shuffle and are settled by their whole SHA-256. A fuller filter lets more rows shuffle;
-it never changes the result.
-
-Defined results: a null text counts as empty; A-Z are lower-cased, nothing else; of equal texts the row with
-the largest id stays (null ids are below all others); rows that repeat both id and text are one document in
-``dedupe`` and are each marked in ``annotate``; an empty table gives an empty result; other columns are
-carried as they are.
+Pass 1 is a counting filter of ``CELLS`` counters, dealt out over the executors by cell: each task counts its rows by
+cell, and only these counts (12 bytes or so, never a text or a row) are exchanged. Cells with two or more rows go into
+a Bloom filter (``bloom``), which grows with them. Pass 2 tests each row's cell: rows that miss are the only ones of
+their text and pass straight through; the others shuffle and are settled by their whole SHA-256. A fuller filter lets
+more rows shuffle; it never changes the result.
+
+Defined results: a null text counts as empty; A-Z are lower-cased, nothing else; whole texts are hashed, however long;
+of equal texts the row with the largest id stays (null ids are below all others); rows that repeat both id and text
+are one document in ``dedupe`` and are each marked in ``annotate``; an empty table gives an empty result; other
+columns are carried as they are.
 """
 
 from __future__ import annotations
 
 import string
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow_text import whole_row
+from .bloom import BloomFilter
 from .staging import stage
 
 #: Counters of the first pass; they are rows of a shuffled table, made only where a row falls.
 CELLS = 1 << 40
-#: The second pass's filter is blocked: a hash has PROBES bits in one block of BLOCK_BITS (4 KB). There is a block
-#: for each PER_BLOCK repeated cells, and at most MOST_BLOCKS, so the filter that is broadcast is under 9 MB.
-BLOCK_BITS, PROBES, PER_BLOCK, MOST_BLOCKS = 32768, 3, 3000, 2048
 
 
 def ascii_lower(text: Column) -> Column:
@@ -43,29 +40,16 @@ def _cell(digest: Column) -> Column:
     return F.pmod(F.xxhash64(digest), F.lit(CELLS))
 
 
-def _block(cell: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(F.lit("block"), cell), F.lit(blocks)).cast("int")
-
-
-def _bits(cell: Column) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(i), cell), F.lit(BLOCK_BITS)).cast("int") for i in range(PROBES)]
-
-
 class RepeatFilter:
     """The two passes: built from digests, it marks rows."""
 
     def __init__(self, digests: DataFrame):
-        self.cell = _cell(F.col("digest"))
-        again = stage(digests.groupBy(self.cell.alias("cell")).count().where("count > 1").select("cell"), "repeated-cells")
-        self.blocks = min(MOST_BLOCKS, again.count() // PER_BLOCK + 1)
-        bits = again.select(_block(F.col("cell"), self.blocks).alias("block"), F.explode(F.array(*_bits(F.col("cell")))).alias("bit"))
-        self.filters = stage(bits.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("filter")), "repeat-filter")
+        counted = digests.groupBy(_cell(F.col("digest")).alias("key")).count()
+        self.repeated = BloomFilter(stage(counted.where("count > 1").select("key"), "repeated-cells"))
 
     def mark(self, rows: DataFrame) -> DataFrame:
         """rows with ``maybe``: false only where no other row has the row's ``digest``."""
-        tested = rows.withColumn("block", _block(self.cell, self.blocks)).join(F.broadcast(self.filters), "block", "left")
-        held = [F.getbit(F.conv(F.hex(F.substring("filter", F.floor(b / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("bigint"), b % 8) == 1 for b in _bits(self.cell)]
-        return tested.withColumn("maybe", F.coalesce(reduce(Column.__and__, held), F.lit(False))).drop("block", "filter")
+        return self.repeated.mark(rows, _cell(F.col("digest")))
 
 
 def _groups(rows: DataFrame) -> DataFrame:

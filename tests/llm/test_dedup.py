@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from kinforge.llm import components, exact_dedup, line_dedup, near_dedup
+from kinforge.llm import bloom, components, exact_dedup, line_dedup, near_dedup
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -50,6 +50,24 @@ def test_exact_full_filter(spark, monkeypatch):
     assert all(got[i]["keep_id"] == (i % 120 + 120 if i % 120 < 80 else i) for i in range(200))
 
 
+def test_exact_large_filter(spark, documents, monkeypatch):
+    """A filter that is too large to go to all tasks meets the rows in a shuffled join, with the same result."""
+    expected = sorted(map(tuple, exact_dedup.annotate(documents).collect()), key=str)
+    kept = sorted(map(str, exact_dedup.dedupe(documents).collect()))
+    monkeypatch.setattr(bloom, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(bloom, "PER_BLOCK", 2)
+    assert sorted(map(tuple, exact_dedup.annotate(documents).collect()), key=str) == expected
+    assert sorted(map(str, exact_dedup.dedupe(documents).collect())) == kept
+
+
+def test_bloom(spark):
+    inside = bloom.BloomFilter(spark.range(0, 9000).select(F.col("id").alias("key")))
+    marked = inside.mark(spark.range(0, 30_000), F.col("id"))
+    assert marked.where("id < 9000 and not maybe").count() == 0
+    assert marked.where("id >= 9000 and maybe").count() < 1000
+    assert bloom.BloomFilter(spark.range(0).select(F.col("id").alias("key"))).mark(spark.range(5), F.col("id")).where("maybe").count() == 0
+
+
 def lines_of(rows, least):
     found = defaultdict(set)
     for r in rows:
