@@ -96,6 +96,35 @@ def test_lines(spark, documents, clashing, nothing, batches):
         assert line_dedup.drop_lines(clashing).select("row.*").columns == clashing.columns
 
 
+def test_lines_of_a_growing_corpus(spark, tmp_path):
+    """Batches that come later meet the runs that stand, in another Runs object too; counts are those of all."""
+    rng = random.Random(5)
+    rows = [(i, "\n".join(f"line {int(rng.paretovariate(0.7))}" for _ in range(rng.randint(1, 6)))) for i in range(120)]
+    frame = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    folder = f"file://{tmp_path}/runs"
+    got = {}
+    for k in range(6):
+        part = rows[20 * k : 20 * k + 20]
+        for r in line_dedup.drop_lines(frame(part), batches=2, folder=folder).select("row.doc_id", "kept_text").collect():
+            got[r["doc_id"]] = r["kept_text"]
+        known = lines_of(frame(rows[: 20 * k + 20]).collect(), 10)
+        for i, text in part:
+            assert got[i] == "\n".join(x for x in text.split("\n") if x not in known)
+    assert known
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    with line_dedup.Runs(spark, folder=folder) as runs, line_dedup._in_file_order(spark):
+        names = [n for level in runs.levels for n in level]
+        assert 1 < len(names) < 12
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in (runs._merged(names[:2]), runs._unsettled(spark.table(names[0])))]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in plans:
+        assert "SortMergeJoin" in plan
+        assert "Exchange" not in plan
+        assert "Sort [" not in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("kinforge_run")]
+
+
 def sets(rows, w):
     out = {}
     for r in rows:
