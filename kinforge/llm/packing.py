@@ -1,17 +1,19 @@
 """Best-fit packing with large-item matching.
 
-Documents are tokenised, ended by one id and, if longer than the capacity, cut into pieces. How many pieces
-there are of each length is all that packing depends on, so it is planned on the counts (at most capacity
-numbers, whatever the corpus): pieces above a third of the capacity are matched greedily, at most two to a bin,
-the longest first, each with the longest that still fits; smaller ones, longest first, go where they fit best
-in the gaps that remain. The plan says where the k-th piece of a length goes; pieces get their k from a count
-by length and one of ``SALTS`` hash classes, so a length that holds a third of all rows is ranked by many tasks.
+Documents are tokenised, ended by one id and, if longer than the capacity, cut into pieces. A piece as long as the
+capacity is a sequence of its own. How many pieces there are of each other length is all that packing depends on, so
+it is planned on the counts (under capacity numbers, whatever the corpus): pieces above a third of the capacity are
+matched greedily, at most two to a bin, the longest first, each with the longest that still fits; smaller ones,
+longest first, go where they fit best in the gaps that remain. The plan says where the k-th piece of a length goes.
+Pieces get their k from a rank within a hash class of their length, of about ``CLASS_ROWS`` rows, and the rows of the
+classes before, so a length that a third of all rows have is ranked by as many tasks as it needs.
 
 Tokens come from a public vocabulary that drops white space: its tokens never reach over the six ASCII white
 space characters, so words are encoded once and remembered.
 
-Defined results: a null text is empty, and an empty one is its end id alone; rows that repeat are packed each;
-an empty table gives an empty result; only the id column is carried.
+Defined results: a null text is empty, and an empty one is its end id alone; whole texts are cut, however long; of
+pieces of equal length any may take a place; rows that repeat are packed each, null ids too; an empty table gives an
+empty result; only the id column is carried.
 """
 
 from __future__ import annotations
@@ -33,7 +35,9 @@ from .arrow_text import TokenMemory, lists_to_flat, map_texts, small_batches, sp
 from .bpe import PairTable, merge_rows
 from .staging import stage
 
-CAPACITY, END_ID, SALTS = 2048, 0, 128
+CAPACITY, END_ID = 2048, 0
+#: Rows of one length that a task ranks, about.
+CLASS_ROWS = 1 << 17
 #: Words, and pieces of words, remembered by a task at most.
 REMEMBERED = 400_000
 
@@ -218,27 +222,31 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """pieces (doc_id, piece, start, length and others) with sequence_id and offset. It is read more than once:
-    stage it before."""
-    dealt = pieces.select(whole_row(pieces).alias("row"), F.col("length"), F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(SALTS)).cast("int").alias("salt"))
-    counted = dealt.groupBy("length", "salt").count().toPandas()
-    table = np.zeros((capacity + 1, SALTS), dtype=np.int64)
-    table[counted["length"], counted["salt"]] = counted["count"]
-    before = np.cumsum(table, axis=1) - table
-    sent = pieces.sparkSession.sparkContext.broadcast((before, plan(dict(enumerate(table.sum(axis=1).tolist())), capacity)))
-    ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("row.doc_id", "row.piece", "row.start")))
+    stage it before. Sequences of one whole piece have negative numbers."""
+    spark = pieces.sparkSession
+    whole = pieces.where(F.col("length") == capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    part = pieces.where(F.col("length") < capacity)
+    counts = {r["length"]: r["count"] for r in part.groupBy("length").count().collect()}  # under capacity rows
+    steps = spark.sparkContext.broadcast(plan(counts, capacity))
+    classes = spark.createDataFrame([(n, c // CLASS_ROWS + 1) for n, c in counts.items()], "length long, classes long")
+    dealt = part.select(whole_row(part).alias("row"), "length", F.xxhash64("doc_id", "piece", "start").alias("hash")).join(F.broadcast(classes), "length")
+    dealt = dealt.select("row", "length", F.pmod("hash", "classes").alias("class"))
+    sizes = dealt.groupBy("length", "class").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("length", "class", (F.sum("n").over(Window.partitionBy("length").orderBy("class")) - F.col("n")).alias("before"))
+    ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("length", "class").orderBy("row.doc_id", "row.piece", "row.start")))
+    ranked = ranked.join(stage(before, "class-offsets"), ["length", "class"]).select("row", "length", (F.col("before") + F.col("rank") - 1).alias("k"))
 
     def place(batches):
-        before, steps = sent.value
-        key = steps[:, 0] << 44 | steps[:, 1] if len(steps) else np.zeros(0, np.int64)
+        table = steps.value
+        key = table[:, 0] << 44 | table[:, 1] if len(table) else np.zeros(0, np.int64)
         for batch in batches:
-            length, salt, rank = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "salt", "rank"))
-            k = before[length, salt] + rank - 1
-            step = steps[np.searchsorted(key, length << 44 | k, side="right") - 1]
+            length, k = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("length", "k"))
+            step = table[np.searchsorted(key, length << 44 | k, side="right") - 1]
             at = k - step[:, 1]
             row = batch.column("row")
             yield pa.RecordBatch.from_arrays([*row.flatten(), pa.array(step[:, 2] + at // step[:, 3]), pa.array(step[:, 4] + at % step[:, 3] * length)], names=[*(f.name for f in row.type), "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
+    return whole.unionByName(ranked.mapInArrow(place, StructType([*pieces.schema, StructField("sequence_id", LongType()), StructField("offset", LongType())])))
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False) -> DataFrame:

@@ -82,13 +82,18 @@ def check_packed(rows, texts, capacity=2048):
     return len(bins), sum(r["length"] for r in rows)
 
 
-def test_packing(spark, documents, clashing, nothing):
+@pytest.mark.parametrize("class_rows", [1 << 17, 20])
+def test_packing(spark, documents, clashing, nothing, monkeypatch, class_rows):
+    """class_rows: 20 ranks each common length in several classes."""
+    monkeypatch.setattr(packing, "CLASS_ROWS", class_rows)
     once = documents.dropDuplicates(["doc_id"])
     bins, tokens = check_packed(packing.pack_documents(once).collect(), {r["doc_id"]: r["text"] for r in once.collect()})
     assert bins <= -(-tokens // 2048) * 11 // 10 + 1
     assert packing.pack_documents(documents).count() == packing.pack_documents(once).count() + 1
     assert packing.pack_documents(nothing).count() == 0
     assert packing.pack_documents(clashing).count() == packing.pack_documents(documents).count()
+    empty = spark.range(500).select(F.when(F.col("id") > 9, F.col("id")).alias("doc_id"), F.lit("").alias("text"))
+    assert packing.pack_documents(empty).select("sequence_id", "offset").distinct().count() == 500
     whole = packing.sequences(packing.pack_documents(once, with_ids=True)).collect()
     assert sum(len(r["ids"]) for r in whole) == 4 * tokens
     assert len(whole) == bins
