@@ -31,7 +31,7 @@ def clashing(documents):
     """Extra columns named as the operators name their own."""
     from pyspark.sql import functions as F
 
-    names = "row text_ id score kept digest keep_id group_size rules best at maybe block filter cell places same n bands signature label rank salt length piece start ids".split()
+    names = "row text_ id score kept digest keep_id group_size rules best at maybe block filter cell places same n bands signature label rank salt length piece start ids _first key query asks class classes hash before k settled places_ row_no h1 h2 again first hashes pattern verdict".split()
     return documents.select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
 
 

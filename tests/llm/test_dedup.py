@@ -154,7 +154,7 @@ def linked(found, percent):
 @pytest.mark.parametrize(("w", "percent", "small"), [(3, 85, 16), (5, 80, 16), (3, 85, 2)])
 def test_near(spark, documents, clashing, nothing, monkeypatch, w, percent, small):
     """small: 2 sends nearly all buckets through the block tasks."""
-    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "PAIRED", small)
     monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 8 if small == 2 else 256)
     rng = random.Random(7)
     base = [f"v{i}" for i in range(120)]
@@ -181,16 +181,26 @@ def test_near(spark, documents, clashing, nothing, monkeypatch, w, percent, smal
         assert near_dedup.clusters(nothing, w=w, percent=percent).count() == 0
 
 
+def test_near_other_ids(spark):
+    rows = spark.createDataFrame([("7", "a b c"), ("9", "a b c")], "doc_id string, text string").withColumn("_first", F.lit(1))
+    assert [r["doc_id"] for r in near_dedup.dedupe(rows).collect()] == ["7"]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        near_dedup.dedupe(rows.withColumn("doc_id", F.lit("x"))).collect()
+
+
 def test_near_nulls(spark):
     rows = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (1, "a b c d"), (2, "A b c d"), (3, None)], "doc_id long, text string")
     assert sorted(map(str, (r["doc_id"] for r in near_dedup.dedupe(rows).collect()))) == ["1", "3", "None", "None"]
 
 
-def test_bayes_bound():
-    least = near_dedup.least_matches(0.85)
-    assert len(least) == near_dedup.ROWS * near_dedup.BANDS // near_dedup.BATCH
+@pytest.mark.parametrize("percent", [80, 85, 95])
+def test_bayes_bound(percent):
+    rows, bands = near_dedup.layout(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= near_dedup.BAND_MISS
+    least = near_dedup.least_matches(percent)
+    assert len(least) == rows * bands // near_dedup.BATCH
     assert all(a < b for a, b in zip(least, least[1:], strict=False))
-    assert 0.6 < least[-1] / (near_dedup.ROWS * near_dedup.BANDS) < 0.85
+    assert 0.6 < least[-1] / (rows * bands) < percent / 100
 
 
 @pytest.mark.parametrize("seed", [1, 2])
