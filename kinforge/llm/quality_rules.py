@@ -1,29 +1,32 @@
-"""Quality rules: counts over whole texts, then bands on how well a public vocabulary fits them.
+"""Quality rules: counts over whole texts, then bands on how well public vocabularies fit them.
 
 A text is read as words ``[^\\x20\\x09-\\x0D]+``. The base rule rejects texts of under 50 words or with over
-half of their words in repeated 3-word windows. The others are tokenised word by word with a public
-SentencePiece vocabulary (it never merges over white space, so words can be encoded once and remembered), and
-measured: code points per token, share of byte-fallback tokens, and the entropy of the tokens in bits. Two kinds
-of band reject:
+half of their words in repeated 3-word windows. Every text is tokenised word by word with two public vocabularies
+(neither merges over white space, so words can be encoded once and remembered): SentencePiece pieces with byte
+fallback, and byte-level BPE for many languages. Measured are the code points per token of both, the share of
+byte-fallback pieces, and the entropy in bits of ``WINDOW`` pieces, as the mean over windows that cover the text (so
+that it does not grow with the text; the last window ends where the text does). Two kinds of band reject:
 
 * per script (that of most letters), fixed outer bands for each measure (``BANDS``);
-* per language, a band around what its texts need: the median of code points per token over the distinct texts
-  of the corpus that pass the base rule (copies count once, by text hash), and the typical size of a text's
-  distance from it, times the root of its tokens, ``LEAST_ERROR`` at least, so that a group of near copies does
-  not close the band. A text is out of the band if it is over ``MOST_ERRORS`` such errors and ``LEAST_SHIFT`` of
-  the median away. Both statistics are read off exact histograms. With under ``LEAST_TEXTS`` such texts, n, they
-  are uncertain: the band is wider by the root of ``LEAST_TEXTS`` / n, and ``errors`` is null. A null language is
-  the script's.
+* per language, bands around what its texts need: for each measure the median over the distinct texts of the corpus
+  that pass the base rule (copies count once, by text hash), and the typical distance from it, the error. What is
+  measured spreads by the root of a text's tokens or windows, so distances are taken times that root. Errors
+  have a floor (``FLOORS``), so that a group of near copies does not close the band. A text is out of the band if it is
+  over ``MOST_ERRORS`` errors, and for code points also ``LEAST_SHIFT`` of the median, away. With n texts behind it a
+  band is wider by the root of 1 + ``PRIOR_TEXTS`` / n: a language of few texts is judged by its script's band, and by
+  its own the more texts it has, without a step. All statistics are read off exact histograms. A null language is the
+  script's.
 
 Repeated words are found by 64-bit hashes of the words; equal words always have equal hashes.
 
 Defined results: null and empty texts have no words, zero counts and fail the base rule; measures of a text
-without tokens are 0; rows that repeat are judged alike; an empty table gives an empty result; other columns
-are carried as they are.
+without tokens are 0; whole texts are read, however long; rows that repeat are judged alike, null ids too; an empty
+table gives an empty result; other columns are carried as they are.
 """
 
 from __future__ import annotations
 
+import base64
 from functools import lru_cache
 
 import numpy as np
@@ -33,12 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from .arrow_text import TokenMemory, lists_to_flat, map_texts, mix, small_batches, span_hashes, text_buffers, whole_row, word_bounds
+from .arrow_text import TokenMemory, lists_to_flat, map_texts, mix, small_batches, span_hashes, spread, text_buffers, whole_row, word_bounds
 from .staging import stage
 
-VOCABULARY = "piece_bpe_32k.model"
+VOCABULARY, MULTI_VOCABULARY = "piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: script: (least and most code points per token, most byte-fallback share, least entropy in bits)
+#: script: (least and most code points per piece and per token, most byte-fallback share, least entropy of a window)
 BANDS = {
     "latin": (1.3, 8.0, 0.05, 3.0),
     "cyrillic": (1.2, 8.0, 0.05, 3.0),
@@ -49,35 +52,53 @@ BANDS = {
 }
 #: Last code point of each run of one script, in order; the letters of ASCII are counted apart.
 _RUNS = ((0xBF, "other"), (0x24F, "latin"), (0x36F, "other"), (0x3FF, "greek"), (0x52F, "cyrillic"), (0x5FF, "other"), (0x6FF, "arabic"), (0x74F, "other"), (0x77F, "arabic"), (0x1DFF, "other"), (0x1EFF, "latin"), (0x303F, "other"), (0x30FF, "cjk"), (0x33FF, "other"), (0x9FFF, "cjk"), (0xABFF, "other"), (0xD7AF, "cjk"), (0x10FFFF, "other"))
-MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, script string, n_tokens long, chars_per_token double, byte_share double, token_entropy double, fits boolean"
-MOST_ERRORS, LEAST_SHIFT, LEAST_TEXTS = 6.0, 0.05, 100
-#: Least error of a text of one token, in code points per token; token lengths alone spread by about as much.
-LEAST_ERROR = 0.9
-#: Bins a unit of the histograms of code points per token, and of its scaled distances.
-BINS, DISTANCE_BINS = 1000, 100
+MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, script string, n_tokens long, n_tokens_multi long, chars_per_token double, chars_per_token_multi double, byte_share double, token_entropy double, fits boolean"
+WINDOW = 50
+MOST_ERRORS, LEAST_SHIFT, PRIOR_TEXTS = 6.0, 0.05, 100
+#: Least error of each measure, of a text of one token or window: about the spread of token lengths, of a share at its
+#: widest, and of a window's entropy.
+FLOORS = {"chars_per_token": 0.9, "chars_per_token_multi": 0.9, "byte_share": 0.5, "token_entropy": 0.15}
+#: Bins a unit of the histograms of measures and of their distances.
+BINS = 1000
 #: Words remembered by a task at most.
 REMEMBERED = 300_000
 
 
 class Fertility:
-    """Tokens of words by a SentencePiece vocabulary."""
+    """Tokens of words by a SentencePiece vocabulary, and their number by a byte-level one."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, multi_path: str):
+        import public_tokenizers
         import sentencepiece
+        import tiktoken
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.get_piece_size())])
-        self.memory = TokenMemory(lambda words: lists_to_flat(self.model.encode([w.decode() for w in words], num_threads=1)), REMEMBERED)
-
-    def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The token ids of all texts' words, one after another, and each word's number of tokens."""
+        with open(multi_path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
+        self.multi = tiktoken.Encoding("multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.size = self.model.get_piece_size()
+        self.is_byte = np.array([self.model.is_byte(i) for i in range(self.size)])
+        self.memory = TokenMemory(self._encode, REMEMBERED)
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces of each word, then its number of tokens by the other vocabulary, raised by the first one's size."""
+        texts = [w.decode() for w in words]
+        pieces = self.model.encode(texts, num_threads=1)
+        for t, ids in zip(texts, pieces, strict=True):
+            ids.append(self.size + len(self.multi.encode_ordinary(" " + t)))
+        return lists_to_flat(pieces)
+
+    def tokens(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pieces of all texts' words, one after another; each word's number of pieces; and of tokens."""
         codes = np.concatenate([np.zeros(0, np.int64), *self.memory.codes([t.split() for t in texts])])
-        return self.memory.ids_of(codes), self.memory.lengths[codes]
+        ids = self.memory.ids_of(codes)
+        marked = ids >= self.size
+        return ids[~marked], self.memory.lengths[codes] - 1, ids[marked] - self.size
 
 
 @lru_cache(maxsize=2)
-def _fertility(path: str) -> Fertility:
-    return Fertility(path)
+def _fertility(path: str, multi_path: str) -> Fertility:
+    return Fertility(path, multi_path)
 
 
 def repeat_words(hashes: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
@@ -145,7 +166,7 @@ def _scripts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return best
 
 
-def measure(texts: pa.Array, path: str) -> pa.StructArray:
+def measure(texts: pa.Array, path: str, multi_path: str) -> pa.StructArray:
     """The columns of MEASURES for each text."""
     raw, offsets = text_buffers(texts)
     n = len(offsets) - 1
@@ -160,69 +181,93 @@ def measure(texts: pa.Array, path: str) -> pa.StructArray:
     failed = (n_words < MIN_WORDS) | (100 * repeated > MAX_REPEAT_PERCENT * n_words)
 
     data, cut = raw.tobytes(), offsets.tolist()
-    fertility = _fertility(path)
-    ids, lengths = fertility.tokens([data[a:b] for a, b in zip(cut, cut[1:], strict=False)])
+    fertility = _fertility(path, multi_path)
+    ids, lengths, multi = fertility.tokens([data[a:b] for a, b in zip(cut, cut[1:], strict=False)])
     token_doc = np.repeat(doc, lengths)
     n_tokens = np.bincount(token_doc, minlength=n)
+    n_multi = np.bincount(doc, weights=multi, minlength=n).astype(np.int64)
     some = np.maximum(n_tokens, 1)
     byte_share = np.bincount(token_doc, weights=fertility.is_byte[ids], minlength=n) / some
-    pairs, counts = np.unique(token_doc << 20 | ids.astype(np.int64), return_counts=True)
+    windows = -(-n_tokens // WINDOW)
+    window_doc = np.repeat(np.arange(n), windows)
+    size = np.minimum(n_tokens, WINDOW)[window_doc]
+    begins = (np.cumsum(n_tokens) - n_tokens)[window_doc] + np.minimum(spread(np.zeros(n, np.int64), windows) * WINDOW, n_tokens[window_doc] - size)
+    inside = ids[spread(begins, size)].astype(np.int64)
+    pairs, counts = np.unique(np.repeat(np.arange(len(size)), size) << 20 | inside, return_counts=True)
     of = pairs >> 20
-    share = counts / some[of]
-    entropy = np.bincount(of, weights=-share * np.log2(share), minlength=n)
-    per_token = word_chars / some
+    share = counts / size[of]
+    entropy = np.bincount(window_doc[of], weights=-share * np.log2(share), minlength=n) / np.maximum(windows, 1)
+    per_token, per_multi = word_chars / some, word_chars / np.maximum(n_multi, 1)
 
     script = _scripts(raw, offsets)
     least, most, bytes_most, entropy_least = np.array(list(BANDS.values()))[script].T
-    fits = (per_token >= least) & (per_token <= most) & (byte_share <= bytes_most) & (entropy >= entropy_least)
-    columns = [n_words, word_chars, symbols[offsets[1:]] - symbols[offsets[:-1]], dup_lines(raw, offsets, starts), repeated, failed, np.array(list(BANDS), dtype=object)[script], n_tokens, per_token, byte_share, entropy, ~failed & fits]
+    fits = (np.minimum(per_token, per_multi) >= least) & (np.maximum(per_token, per_multi) <= most) & (byte_share <= bytes_most) & (entropy >= entropy_least)
+    columns = [n_words, word_chars, symbols[offsets[1:]] - symbols[offsets[:-1]], dup_lines(raw, offsets, starts), repeated, failed, np.array(list(BANDS), dtype=object)[script], n_tokens, n_multi, per_token, per_multi, byte_share, entropy, fits]
     kinds = {"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "double": pa.float64()}
     fields = [x.split() for x in MEASURES.split(", ")]
     return pa.StructArray.from_arrays([pa.array(c, type=kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[f for f, _ in fields])
 
 
-def _median(values: DataFrame, by: str, value: Column, bins: int) -> DataFrame:
-    """The median of value for each key, to a bin's width, and the number of rows: key, median, n."""
-    counted = values.groupBy(F.col(by).alias("key"), F.floor(value * bins).alias("bin")).agg(F.count(F.lit(1)).alias("c"))
-    window = Window.partitionBy("key").orderBy("bin")
-    running = counted.withColumn("below", F.sum("c").over(window)).withColumn("n", F.sum("c").over(Window.partitionBy("key")))
-    return running.where(F.col("below") * 2 >= F.col("n")).groupBy("key").agg(((F.min("bin") + 0.5) / bins).alias("median"), F.first("n").alias("n"))
+def _median(values: DataFrame, value: Column) -> DataFrame:
+    """The median of value for each measure and key, to a bin's width, and the number of rows: measure, key, median, n."""
+    counted = values.groupBy("measure", "key", F.floor(value * BINS).alias("bin")).agg(F.count(F.lit(1)).alias("c"))
+    window = Window.partitionBy("measure", "key")
+    running = counted.withColumn("below", F.sum("c").over(window.orderBy("bin"))).withColumn("n", F.sum("c").over(window))
+    return running.where(F.col("below") * 2 >= F.col("n")).groupBy("measure", "key").agg(((F.min("bin") + 0.5) / BINS).alias("median"), F.first("n").alias("n"))
+
+
+def _samples() -> Column:
+    """What a measured row tells each band: (measure, key, x, weight). Its distance from a median counts weight times."""
+    rules = lambda c: F.col(f"rules.{c}")
+    one = lambda name, weight: F.struct(F.lit(name).alias("measure"), F.col("key"), rules(name).alias("x"), F.sqrt(weight).alias("weight"))
+    n = rules("n_tokens")
+    return F.array(one("chars_per_token", n), one("chars_per_token_multi", rules("n_tokens_multi")), one("byte_share", n), one("token_entropy", F.ceil(n / WINDOW)))
 
 
 def _language_bands(measured: DataFrame) -> DataFrame:
-    """key, median, n, error (of a text of one token) for each language."""
-    texts = measured.where("not rules.base_failed").select("key", "hash", F.col("rules.chars_per_token").alias("x"), F.col("rules.n_tokens").alias("tokens"))
-    texts = stage(texts.dropDuplicates(["key", "hash"]), "fertility-texts")
-    medians = stage(_median(texts, "key", F.col("x"), BINS), "fertility-medians")
-    apart = texts.join(medians, "key").select("key", (F.abs(F.col("x") - F.col("median")) * F.sqrt("tokens")).alias("distance"))
-    errors = _median(apart, "key", F.col("distance"), DISTANCE_BINS)
-    return medians.join(errors.select("key", F.greatest(F.col("median") * 1.4826, F.lit(LEAST_ERROR)).alias("error")), "key")
+    """measure, key, median, n and error of each band."""
+    texts = measured.where("not rules.base_failed").select("hash", "key", "rules").dropDuplicates(["key", "hash"])
+    texts = stage(texts.select(F.inline(_samples())), "fertility-texts")
+    medians = stage(_median(texts, F.col("x")), "fertility-medians")
+    apart = texts.join(medians, ["measure", "key"]).select("measure", "key", (F.abs(F.col("x") - F.col("median")) * F.col("weight")).alias("distance"))
+    floor = F.coalesce(*[F.when(F.col("measure") == m, F.lit(v)) for m, v in FLOORS.items()])
+    errors = _median(apart, F.col("distance")).select("measure", "key", F.greatest(F.col("median") * 1.4826, floor).alias("error"))
+    return medians.join(errors, ["measure", "key"])
 
 
-def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, vocabulary: str | None = None, lang_col: str | None = "lang") -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, vocabulary: str | None = None, lang_col: str | None = "lang", multi_vocabulary: str | None = None) -> DataFrame:
     """A row for each row: ``row`` (a struct of the carried columns, all by default), ``rules`` (MEASURES; fits:
-    within the outer bands), ``errors`` (the distance from the language's median, null with few texts) and ``kept``."""
-    if vocabulary is None:
+    within the script's bands), ``errors`` (a struct: each measure's distance from the language's median in errors,
+    null where the language has no text that passes the base rule) and ``kept``."""
+    if vocabulary is None or multi_vocabulary is None:
         import public_tokenizers
 
-        vocabulary = public_tokenizers.path(VOCABULARY)
+        vocabulary = vocabulary or public_tokenizers.path(VOCABULARY)
+        multi_vocabulary = multi_vocabulary or public_tokenizers.path(MULTI_VOCABULARY)
     lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
     rows = docs.select((whole_row(docs.select(*[F.col(f"`{c}`") for c in carry])) if carry else whole_row(docs)).alias("row"), lang.alias("lang"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("hash"))
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), batch.column("hash"), measure(batch.column("text"), vocabulary)], names=["row", "lang", "hash", "rules"])
+        return pa.RecordBatch.from_arrays([batch.column("row"), batch.column("lang"), batch.column("hash"), measure(batch.column("text"), vocabulary, multi_vocabulary)], names=["row", "lang", "hash", "rules"])
 
     schema = StructType([rows.schema["row"], rows.schema["lang"], rows.schema["hash"], StructField("rules", StructType.fromDDL(MEASURES))])
     with small_batches(docs.sparkSession):
-        measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
+        measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary, multi_vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
     bands = stage(_language_bands(measured), "fertility-bands")
-    shift = F.col("rules.chars_per_token") - F.col("median")
-    wider = F.sqrt(F.greatest(F.lit(1.0), LEAST_TEXTS / F.col("n")))
-    out = (F.abs(shift) * F.sqrt("rules.n_tokens") > F.col("error") * MOST_ERRORS * wider) & (F.abs(shift) > F.col("median") * LEAST_SHIFT)
-    judged = measured.join(bands, "key", "left").withColumn("errors", F.when(F.col("n") >= LEAST_TEXTS, shift * F.sqrt("rules.n_tokens") / F.col("error")))
-    return judged.select("row", "rules", "errors", (F.col("rules.fits") & ~F.coalesce(out, F.lit(False))).alias("kept"))
-
-
-def keep(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None, lang_col: str | None = "lang") -> DataFrame:
+    judged = measured.withColumn("samples", _samples())
+    errors, out = [], F.lit(False)
+    for i, name in enumerate(FLOORS):
+        own = bands.where(F.col("measure") == name).select(F.col("key").alias(f"key_{i}"), F.col("median").alias("median"), (F.col("error") * F.sqrt(1 + PRIOR_TEXTS / F.col("n"))).alias("error"))
+        judged = judged.join(own.select(f"key_{i}", F.struct("median", "error").alias(f"band_{i}")), F.col("samples")[i]["key"] == F.col(f"key_{i}"), "left")
+        band, sample = F.col(f"band_{i}"), F.col("samples")[i]
+        away = (sample["x"] - band["median"]) * sample["weight"] / band["error"]
+        errors.append(away.alias(name))
+        far = F.abs(sample["x"] - band["median"]) > (F.lit(0.0) if name in ("byte_share", "token_entropy") else band["median"] * LEAST_SHIFT)
+        wrong = away > MOST_ERRORS if name == "byte_share" else F.abs(away) > MOST_ERRORS
+        out = out | F.coalesce(wrong & far, F.lit(False))
+    return judged.select("row", "rules", F.struct(*errors).alias("errors"), (~F.col("rules.base_failed") & F.col("rules.fits") & ~out).alias("kept"))
+
+
+def keep(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None, lang_col: str | None = "lang", multi_vocabulary: str | None = None) -> DataFrame:
     """The rows of docs that no rule rejects, with all their columns."""
-    return judge(docs, text_col, None, vocabulary, lang_col).where("kept").select("row.*")
+    return judge(docs, text_col, None, vocabulary, lang_col, multi_vocabulary).where("kept").select("row.*")

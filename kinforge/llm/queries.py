@@ -63,7 +63,10 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"]).select("row.doc_id", "rules.*", "errors", "kept")
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    more = [f.name for f in judged.schema["rules"].dataType if f.name not in base]
+    return judged.select("row.doc_id", *[f"rules.{c}" for c in base], "kept", *[f"rules.{c}" for c in more], *[F.col(f"errors.{m}").alias(f"errors_{m}") for m in quality_rules.FLOORS])
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,5 @@
 import base64
+import math
 import random
 import re
 import zlib
@@ -311,41 +312,85 @@ def test_rules(spark, documents, clashing, nothing):
     assert quality_rules.keep(clashing).columns == clashing.columns
 
 
-def test_rules_measures(spark):
+def test_rules_measures(spark, library):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=P.path(quality_rules.VOCABULARY))
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path(quality_rules.MULTI_VOCABULARY), "rb"))}
+    multi = tiktoken.Encoding("multi", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rows = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     for r in quality_rules.judge(rows).collect():
-        ids = [i for w in WORD.findall(r["row"]["text"]) for i in model.encode(w)]
-        share = np.bincount(ids) / len(ids)
-        share = share[share > 0]
+        words = WORD.findall(r["row"]["text"])
+        ids = [i for w in words for i in model.encode(w)]
+        windows = [ids[max(0, min(a, len(ids) - 50)) :][:50] for a in range(0, len(ids), 50)]
+        entropies = [-sum(c / len(w) * math.log2(c / len(w)) for c in Counter(w).values()) for w in windows]
         assert r["rules"]["n_tokens"] == len(ids)
-        assert r["rules"]["token_entropy"] == pytest.approx(-(share * np.log2(share)).sum())
+        assert r["rules"]["n_tokens_multi"] == sum(len(multi.encode_ordinary(f" {w}")) for w in words)
+        assert r["rules"]["token_entropy"] == pytest.approx(np.mean(entropies))
     odd = spark.createDataFrame([("🀀🀁" * 40 + " " + " ".join("🀂" * 3 + str(i) for i in range(80)),), (" ".join(f"слово{i} другое" for i in range(60)),)], "text string")
     got = {r["rules"]["script"]: r["rules"] for r in quality_rules.judge(odd).collect()}
     assert set(got) == {"other", "cyrillic"}
     assert got["other"]["byte_share"] > 0.3
 
 
+def verdicts(rows):
+    """What plain statistics say of judged rows of one language: doc_id to whether it is kept."""
+    rows = [r for r in rows if not r["rules"]["base_failed"]]
+    middle = lambda values: (sorted(math.floor(v * quality_rules.BINS) for v in values)[(len(values) + 1) // 2 - 1] + 0.5) / quality_rules.BINS
+    once = list({r["row"]["text"]: r for r in rows}.values())
+    weight = {"chars_per_token": lambda m: m["n_tokens"], "chars_per_token_multi": lambda m: m["n_tokens_multi"], "byte_share": lambda m: m["n_tokens"], "token_entropy": lambda m: -(-m["n_tokens"] // 50)}
+    kept = {r["row"]["doc_id"]: r["rules"]["fits"] for r in rows}
+    for name, floor in quality_rules.FLOORS.items():
+        median = middle([r["rules"][name] for r in once])
+        far = {r["row"]["doc_id"]: r["rules"][name] - median for r in rows}
+        scaled = {r["row"]["doc_id"]: far[r["row"]["doc_id"]] * weight[name](r["rules"]) ** 0.5 for r in rows}
+        error = max(floor, 1.4826 * middle([abs(scaled[r["row"]["doc_id"]]) for r in once])) * (1 + quality_rules.PRIOR_TEXTS / len(once)) ** 0.5
+        for i, x in scaled.items():
+            out = x > 6 * error if name == "byte_share" else abs(x) > 6 * error and (name == "token_entropy" or abs(far[i]) > 0.05 * median)
+            kept[i] &= not out
+    return kept
+
+
+COMMON = [a + b for a in ("the", "of", "and", "house", "water", "little", "people", "other") for b in ("", "s", "ing", "ed", "ly")]
+
+
+def odd_texts(rng):
+    """For each measure texts that it alone, or nearly, finds: rare words, words of one vocabulary, bytes, few words."""
+    say = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    return {
+        "chars_per_token": say(["zq", "xj", "qk", "vv", "jx"] * 8 + COMMON, 300),
+        "byte_share": say(["🀀🀁x"] * 12 + COMMON, 600),
+        "token_entropy": " ".join(COMMON[i % 10] + " " + COMMON[int(rng.random() ** 3 * 6)] for i in range(200)),
+    }
+
+
 def test_rules_language_band(spark):
-    """Texts of one language, some of them in other words: the band is the one that plain statistics give."""
+    """Texts of one language, some of them odd: the bands are those that plain statistics give."""
     rng = random.Random(6)
-    common = [a + b for a in ("the", "of", "and", "house", "water", "little", "people", "other") for b in ("", "s", "ing", "ed", "ly")]
-    odd = ["zq", "xj", "qk", "vv", "jx"] * 8
-    rows = [(i, " ".join(rng.choice(common if i % 20 or i % 2 else odd + common) for _ in range(rng.randint(60, 300))), "en") for i in range(400)]
+    rows = [(i, " ".join(rng.choice(COMMON) for _ in range(rng.randint(60, 300))), "en") for i in range(400)]
+    rows += [(1000 + 10 * k + j, text, "en") for k in range(4) for j, text in enumerate(odd_texts(rng).values())]
+    rows.append(rows[0])
     got = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
-    texts = [r for r in got if not r["rules"]["base_failed"]]
-    middle = lambda values, bins: (sorted(int(v * bins) for v in values)[(len(values) + 1) // 2 - 1] + 0.5) / bins
-    median = middle([r["rules"]["chars_per_token"] for r in texts], quality_rules.BINS)
-    far = [abs(r["rules"]["chars_per_token"] - median) * r["rules"]["n_tokens"] ** 0.5 for r in texts]
-    error = 1.4826 * middle(far, quality_rules.DISTANCE_BINS)
-    rejected = {r["row"]["doc_id"] for r, d in zip(texts, far, strict=True) if d > 6 * error and abs(r["rules"]["chars_per_token"] - median) > 0.05 * median}
-    assert {r["row"]["doc_id"] for r in texts if not r["kept"]} == rejected
-    assert rejected
-    assert all(i % 20 == 0 for i in rejected)
-    few = quality_rules.judge(spark.createDataFrame(rows[:90], "doc_id long, text string, lang string"))
-    assert few.where("errors is not null").count() == 0
+    expected = verdicts(got)
+    assert {r["row"]["doc_id"]: r["kept"] for r in got if not r["rules"]["base_failed"]} == expected
+    assert all(expected.get(i, True) for i in range(400))
+    odd = {r["row"]["doc_id"]: r for r in got if r["row"]["doc_id"] >= 1000}
+    for j, name in enumerate(["chars_per_token", "byte_share", "token_entropy"]):
+        for k in range(4):
+            r = odd[1000 + 10 * k + j]
+            assert not r["kept"]
+            assert r["rules"]["base_failed"] or abs(r["errors"][name]) > 6, (name, r["errors"])
+
+
+def test_rules_reject_bad_documents(spark):
+    """On the labelled documents the bands reject none that is good, and each measure but the byte share some that are bad."""
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    rows = quality_rules.judge(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), carry=["doc_id"]).where("not rules.base_failed").select("row.doc_id", "errors", "kept").collect()
+    assert [r for r in rows if labels.get(r["doc_id"]) == 1 and not r["kept"]] == []
+    bad = [r for r in rows if labels.get(r["doc_id"]) == 0]
+    assert sum(not r["kept"] for r in bad) > 0.8 * len(bad)
+    for name in ("chars_per_token", "chars_per_token_multi", "token_entropy"):
+        assert sum(abs(r["errors"][name]) > 6 for r in bad) > 0.25 * len(bad)
 
 
 def test_rules_language_band_of_copies(spark):
