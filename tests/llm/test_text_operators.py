@@ -2,6 +2,7 @@ import base64
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -209,6 +210,73 @@ def test_html_marked_wrapper(wrapper, around):
         assert html_extract.content(PAGE % f"<div {wrapper}>{around % BODY}{related}</div>") == MAIN
 
 
+def test_html_probes():
+    """Text that stands in the article is kept: formulas, paragraphs of a class that holds a listed word, an article
+    inside a share box; and a page of nothing but stray tags is read in one pass."""
+    long = "This is one of the sentences that the article consists of, and it is long enough."
+    for inside in (f"<p>{long}</p><math>E = mc2</math><p>{long}</p>", f"<p>{long}</p><p class='related-work'>Related work is told here.</p><p>{long}</p>", f"<div class='share'><p>{long}</p><p>{long}</p></div>"):
+        page = f"<body><nav><a href=/>Home</a></nav><article>{inside}</article><footer>end</footer></body>"
+        expected = [" ".join(x.split()) for x in re.split(r"<[^>]*>", inside) if x.strip()]
+        assert html_extract.content(page) == "\n".join(expected)
+        assert html_extract.content(page.replace("article", "div")).count("\n") == len(expected) - 1 or "share" in page
+    form = f"<body><form id='aspnetForm'><div class='ad'>Buy this now, it is cheap.</div><main><p>{long}</p></main></form></body>"
+    assert html_extract.content(form) == long
+    began = time.time()
+    assert html_extract.content("<div>" * 8000 + "x" + "</span>" * 8000 + "</div>" * 8000) in ("", "x")
+    assert html_extract.content("<div class='ad'>" * 4000 + "<p>x" * 4000) is not None
+    assert time.time() - began < 5
+
+
+def without(page, names):
+    return re.sub(rf"<(/?)(?:{names})>", r"<\1div>", page)
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_html_learnt(spark, plain):
+    """Weights learnt with the article hidden, on pages without it: all blocks are labelled rightly. Where navigation,
+    footer, adverts and paragraphs are plain div elements too, the cut mends blocks whose own odds are wrong."""
+    html_of = lambda page: without(page, "p|h1|nav|footer").replace(' class="ad"', "") if plain else page
+    pages = [html_of(r["html"]) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    frame = spark.createDataFrame([(p,) for p in pages], "html string")
+    weights = html_extract.train(frame)
+    assert np.array_equal(weights, html_extract.train(frame.unionAll(frame)))
+    assert np.array_equal(html_extract.train(frame.limit(0)), html_extract.PRIOR)
+    right = alone = changed = mended = total = 0
+    for page in pages:
+        inside = [b.path.article for b in html_extract.blocks_of(page)[0]]
+        blocks, elements = html_extract.blocks_of(without(page, "article"))
+        odds = (html_extract.features(blocks, elements) @ weights).tolist()
+        for x, o, y in zip(html_extract.labels(blocks, odds), odds, inside, strict=True):
+            total, right, alone = total + 1, right + (x == y), alone + ((o > 0) == y)
+            changed, mended = changed + (x != (o > 0)), mended + (x == y != (o > 0))
+    if plain:
+        assert right > alone
+        assert mended > 0.9 * changed
+    else:
+        assert right == total
+
+
+def test_html_cut_decides():
+    """Short items and captions between paragraphs have odds of boilerplate; the cut takes them with their neighbours,
+    and leaves short boilerplate alone."""
+    long = "This is one of the sentences that the article consists of, and it is long enough."
+    page = f"<body><div>Menu</div><nav><a href=/>Home</a></nav><div><p>{long}</p><ul><li>one</li><li>two</li><li>three</li></ul><p>{long}</p><div>Tab 1</div><p>{long}</p></div><footer>Imprint</footer></body>"
+    blocks, elements = html_extract.blocks_of(page)
+    odds = dict(zip((b.text for b in blocks), html_extract.features(blocks, elements) @ html_extract.PRIOR, strict=True))
+    assert max(odds[x] for x in ("one", "two", "three", "Tab 1", "Menu")) < 0
+    assert html_extract.content(page) == "\n".join([long, "one", "two", "three", long, "Tab 1", long])
+
+
+def test_html_fit():
+    """The weights are where no small step lowers the loss."""
+    rng = np.random.default_rng(3)
+    x = np.column_stack([np.ones(300), rng.uniform(0, 1, (300, len(html_extract.FEATURES) - 1))])
+    y = (rng.uniform(0, 1, 300) < 0.4 + 0.3 * x[:, 3]).astype(float)
+    loss = lambda w: np.logaddexp(0, -np.where(y > 0, 1, -1) * (x @ w)).sum() + (html_extract.PRECISION * (w - html_extract.PRIOR) ** 2).sum() / 2
+    w = html_extract.fit(x, y)
+    assert all(loss(w) <= loss(w + rng.normal(0, 0.01, len(w))) for _ in range(50))
+
+
 def test_html_cases(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<p"), (4, "u", "<script>if (a < b)"), (5, "u", "<article><p>x</p></article>"), (6, "u", "<article>" + "<p>word</p>" * 3000 + "</article>"), (7, "u", "<article>" + "y " * 200_000), (8, "u", "<article><p>&lt;a&gt; &#x41;&bogus; <!-- c --></article>")]
     pages.append(pages[4])
