@@ -4,12 +4,15 @@ A text's features are its words ``[^\\x20\\x09-\\x0D]+`` and pairs of neighbouri
 places, valued by the square root of their counts and scaled to length 1; one more place is the bias. Training
 sees a bounded sample of labelled rows (``MOST_ROWS``, those of least id hash, so the same rows at any
 partitioning) whose features are made on the executors and learnt on the driver by per-coordinate
-FTRL-proximal updates. Scoring is a sparse dot product per text on the executors; the weights that go there
+FTRL-proximal updates; of a text with more than ``MOST_PLACES`` of them, those of the largest counts are learnt from.
+Scoring is a sparse dot product of all features of the whole text on the executors; the weights that go there
 have a fixed size (``2**BITS + 1`` floats, 1 MB).
 
-Defined results: null and empty texts have the bias alone; null labels are not learnt from; ids with more
-than one label count as their largest; without any labelled row every score is 0.5; rows that repeat get equal
-scores; an empty table gives an empty result; other columns are carried as they are.
+Defined results: null and empty texts have the bias alone; whole texts are scored, however long; rows of null id are
+scored, not held out, and not learnt from; null labels are not learnt from; ids with more than one label count as
+their largest, and of rows that repeat an id the text of least hash is learnt from; without any labelled row every
+score is 0.5; equal texts get equal scores; an empty table gives an empty result; other columns are carried as they
+are.
 """
 
 from __future__ import annotations
@@ -21,19 +24,21 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
 
 from .arrow_text import map_texts, mix, small_batches, span_hashes, text_buffers, whole_row, word_bounds
 
 BITS = 18
 #: Labelled rows that are learnt from, at most.
 MOST_ROWS = 6_000
+#: Places of one text that are learnt from, at most.
+MOST_PLACES = 4096
 EPOCHS = 4
 
 
 def held_out(id_col: Column) -> Column:
     """Rows whose labels may not be learnt from."""
-    return F.crc32(id_col.cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,19 +85,21 @@ class Ftrl:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most_rows: int = MOST_ROWS) -> np.ndarray:
     """Weights learnt from at most most_rows labelled rows that are not held out."""
-    usable = labels.where(~held_out(F.col(id_col)) & F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    usable = labels.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)) & F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     chosen = usable.orderBy(F.xxhash64("id"), "id", "label").limit(most_rows).groupBy("id").agg(F.max("label").alias("label"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash")).join(F.broadcast(chosen), "id")
 
     def kernel(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.num_rows
         of, place, value = features(batch.column("text"))
-        ends = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (place.astype(np.int32), value.astype(np.float32))]
-        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), *lists], names=["id", "label", "place", "value"])
+        ends = np.searchsorted(of, np.arange(batch.num_rows + 1))
+        parts = [slice(a, b) if b - a <= MOST_PLACES else a + np.sort(np.argsort(-value[a:b], kind="stable")[:MOST_PLACES]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        lists = [pa.array([x[p] for p in parts], pa.list_(t)) for x, t in ((place.astype(np.int32), pa.int32()), (value.astype(np.float32), pa.float32()))]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "label", "hash")), *lists], names=["id", "label", "hash", "place", "value"])
 
+    schema = StructType([*(texts.schema[c] for c in ("id", "label", "hash")), StructField("place", ArrayType(IntegerType())), StructField("value", ArrayType(FloatType()))])
     with small_batches(docs.sparkSession):
-        rows = map_texts(texts, kernel, StructType([texts.schema["id"], texts.schema["label"]]).simpleString()[7:-1].replace(":", " ") + ", place array<int>, value array<float>", "text").toArrow()
+        once = map_texts(texts, kernel, schema, "text").groupBy("id").agg(F.min_by(F.struct("label", "place", "value"), "hash").alias("row"))
+        rows = once.select("id", "row.*").toArrow()
     rows = rows.take(pc.sort_indices(rows, sort_keys=[("id", "ascending")]))
     order = np.random.default_rng(7).permutation(rows.num_rows)
     place, value, label = (rows.column(c).combine_chunks() for c in ("place", "value", "label"))

@@ -1,10 +1,11 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinforge.llm import queries
+from kinforge.llm import quality_classifier, quality_rules, queries
 from tests.llm.test_dedup import linked, sets
-from tests.llm.test_text_operators import check_packed
+from tests.llm.test_text_operators import check_packed, plain_score, verdicts
 from tests.test_queries import plain
 
 SF = "/root/testdata/sf0.001"
@@ -22,9 +23,15 @@ def test_pipeline(spark):
         docs = out
     rows = lambda frame: {r["doc_id"]: r for r in frame.collect()}
     before, after = map(rows, seen[0])
-    assert all(len(r["text"].split()) >= 50 for r in after.values())
+    judged = quality_rules.judge(seen[0][0]).collect()
+    expected = set()
+    for lang in {r["row"]["lang"] for r in judged}:
+        expected |= {i for i, kept in verdicts([r for r in judged if r["row"]["lang"] == lang]).items() if kept}
+    assert set(after) == expected
     assert set(after) < set(before)
     before, after = map(rows, seen[1])
+    weights = quality_classifier.train(seen[1][0], spark.read.parquet(f"{SF}/labels.parquet"))
+    assert set(after) == {i for i, r in before.items() if plain_score(r["text"], weights) >= 0.7}
     assert 0 < len(after) < len(before)
     before, after = map(rows, seen[2])
     newest = {}
@@ -38,6 +45,25 @@ def test_pipeline(spark):
     assert sorted(r["doc_id"] for r in whole.collect()) == sorted(r["doc_id"] for r in seen[4][1].collect())
 
 
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_pipeline_on_odd_tables(spark, documents, tmp_path, rows):
+    """Nulls, empty and long texts, ties, repeated rows and columns with clashing names, and no rows, through all stages."""
+    names = "row _first score kept rules best maybe filter block label rank length piece start sequence_id offset".split()
+    docs = documents.unionByName(documents.limit(30)).select("*", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    docs = docs.unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    if rows == "none":
+        docs = docs.limit(0)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs.select("doc_id", (F.length("text") > 200).cast("int").alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    for k, (_, function) in enumerate(corpus_pipeline.STAGES):
+        out = function(spark, docs, str(tmp_path)).persist()
+        assert k == 4 or out.columns == docs.columns
+        if rows == "none":
+            assert out.count() == 0
+        docs = out
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -15,6 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from kinforge.llm.arrow_text import mix, span_hashes
 from kinforge.llm import bpe, chat_format, html_extract, packing, quality_classifier, quality_rules, url_filter
 
 SF = "/root/testdata/sf0.01"
@@ -506,6 +508,63 @@ def test_classifier(spark, clashing, nothing):
     assert {r["score"] for r in quality_classifier.score(clashing, none).collect()} == {0.5}
 
 
+def plain_features(text):
+    """Places and values of one text, by counting its words and pairs one by one."""
+    one = lambda word: int(span_hashes(np.frombuffer(word.encode(), np.uint8), np.array([0]), np.array([len(word.encode())]))[0])
+    words = [one(w) for w in WORD.findall(text or "")]
+    pairs = [int(mix(np.array([(a + 0x632BE59BD9B4E019 * b) % 2**64], np.uint64))[0]) for a, b in zip(words, words[1:], strict=False)]
+    counts = Counter(h >> (64 - quality_classifier.BITS) for h in words + pairs)
+    size = math.sqrt(sum(counts.values()))
+    return {k: math.sqrt(c) / size for k, c in sorted(counts.items())}
+
+
+def plain_score(text, weights):
+    total = sum(float(weights[k]) * v for k, v in plain_features(text).items()) + float(weights[-1])
+    return 1 / (1 + math.exp(-total))
+
+
+def test_classifier_against_plain_code(spark, documents):
+    texts = [r["text"] for r in documents.collect()]
+    of, place, value = quality_classifier.features(pa.array(texts, pa.string()))
+    for i, text in enumerate(texts):
+        expected = plain_features(text)
+        assert place[of == i].tolist() == list(expected)
+        assert value[of == i] == pytest.approx(list(expected.values()))
+    rng = random.Random(1)
+    examples = [({rng.randrange(40): rng.random() for _ in range(6)}, rng.randint(0, 1)) for _ in range(60)]
+    ftrl = quality_classifier.Ftrl()
+    z, n, bias = Counter(), Counter(), 1 << quality_classifier.BITS
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= ftrl.l1 else -(z[i] - math.copysign(ftrl.l1, z[i])) / ((ftrl.beta + math.sqrt(n[i])) / ftrl.alpha + ftrl.l2)
+
+    for _ in range(3):
+        for x, y in examples:
+            w = {i: weight(i) for i in [*x, bias]}
+            gap = 1 / (1 + math.exp(-(sum(w[i] * v for i, v in x.items()) + w[bias]))) - y
+            for i, v in [*x.items(), (bias, 1.0)]:
+                g = gap * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / ftrl.alpha * w[i]
+                n[i] += g * g
+    got = ftrl.fit([(np.array(list(x)), np.array(list(x.values())), y) for x, y in examples], epochs=3)
+    assert got[[*range(40), bias]] == pytest.approx([weight(i) for i in [*range(40), bias]], abs=1e-6)
+    weights = np.random.default_rng(2).normal(0, 1, bias + 1).astype(np.float32)
+    for r in quality_classifier.score(documents, weights).collect():
+        assert r["score"] == pytest.approx(plain_score(r["row"]["text"], weights), abs=1e-6)
+
+
+def test_classifier_edges(spark, nothing):
+    rows = [(None, "bad x", "en"), (1, "good text", "en"), (1, "other", "en"), (5, "bad words", "en"), (5, "bad words", "en"), (7, None, "en"), (8, "long " * 9000 + " ".join(map(str, range(9000))), "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(None, 1), (1, 1), (1, 0), (5, 0), (7, None), (8, 1), (99, 1)], "doc_id long, quality int")
+    weights = quality_classifier.train(docs, labels)
+    assert np.array_equal(weights, quality_classifier.train(docs.repartition(3, "text"), labels.repartition(2)))
+    kept = quality_classifier.keep(docs, labels)
+    assert kept.columns == docs.columns
+    assert {r["h"] for r in docs.where("doc_id is null").select(quality_classifier.held_out(F.col("doc_id")).alias("h")).collect()} == {False}
+    assert quality_classifier.keep(nothing, labels).count() == quality_classifier.keep(docs, labels.limit(0)).count() == 0
+
+
 def test_held_out(spark):
     got = {r["id"]: r["h"] for r in spark.range(300).select("id", quality_classifier.held_out(F.col("id")).alias("h")).collect()}
     assert all(h == (zlib.crc32(str(i).encode()) % 4 == 2) for i, h in got.items())
