@@ -17,8 +17,9 @@ def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def keep_by_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The classifier learns from the labelled documents that have come this far and are not held out."""
-    return quality_classifier.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """The classifier learns from labelled rows of the whole corpus that are not held out: the rules have taken most of
+    the bad ones from docs."""
+    return quality_classifier.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +47,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage for the table documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, function) in enumerate(STAGES):
         docs = function(spark, docs, sf_dir)
