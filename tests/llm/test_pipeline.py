@@ -30,7 +30,7 @@ def test_pipeline(spark):
     assert set(after) == expected
     assert set(after) < set(before)
     before, after = map(rows, seen[1])
-    weights = quality_classifier.train(seen[1][0], spark.read.parquet(f"{SF}/labels.parquet"))
+    weights = quality_classifier.train(seen[0][0], spark.read.parquet(f"{SF}/labels.parquet"))
     assert set(after) == {i for i, r in before.items() if plain_score(r["text"], weights) >= 0.7}
     assert 0 < len(after) < len(before)
     before, after = map(rows, seen[2])
