@@ -11,7 +11,8 @@ _HOME = {
     "operators.evaluation": ["in_holdout", "macro_f05", "recall"],
     "operators.ranking": ["export", "rank"],
     "operators.store": ["CandidateStore"],
-    "plans.blocking": ["Blocking", "candidates_for"],
+    "streaming.matching": ["stream_candidates"],
+    "plans.blocking": ["Blocking", "CandidateIndex", "candidates_for"],
     "plans.cleaning": ["clean_and_profile_file", "run_cleaning_pipeline"],
     "plans.linkage": ["run_blocking_pipeline", "run_cap_sweep"],
     "schema": ["PROVENANCE", "BlockingConfig", "PublicationTransactionError", "QualityCheckError", "StructuralIntegrityError"],

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,18 +34,19 @@ def violations(lines: DataFrame, prefix: str = "") -> DataFrame:
         .when(~F.col("id").startswith(prefix), F.concat(F.lit("6Inconsistent entity_id prefix: '"), F.col("id"), F.lit(f"', expected '{prefix}'")))
     )
     single = rows.withColumn("rule", rule).where("rule is not null").select("line", F.substring("rule", 1, 1).cast("int").alias("rule"), F.expr("substring(rule, 2)").alias("detail"))
-    repeated = rows.where(F.col("n") == 4).groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.sort_array(F.collect_list("line")).alias("at")).where("c > 1")
-    return single.unionByName(repeated.select(F.get("at", F.lit(1)).alias("line"), F.lit(7).alias("rule"), F.concat(F.lit("Duplicate entity_id detected: '"), F.col("id"), F.lit("'")).alias("detail")))
+    whole = rows.where(F.col("n") == 4).select("id", "line")
+    repeated = whole.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.min("line").alias("first")).where("c > 1").select(F.col("id").alias("id_"), "first")
+    again = whole.join(repeated, F.col("id") == F.col("id_")).where("line > first").groupBy("id").agg(F.min("line").alias("line"))
+    return single.unionByName(again.select("line", F.lit(7).alias("rule"), F.concat(F.lit("Duplicate entity_id detected: '"), F.col("id"), F.lit("'")).alias("detail")))
 
 
 def validate_input_file(spark: SparkSession, path: str, expected_prefix: str = "") -> int:
     """The number of data rows; raises on the first violation by line, then by rule."""
-    file = Path(path)
-    if not file.exists():
+    if not tsv.exists(spark, path):
         raise StructuralIntegrityError(path, 0, "File does not exist")
-    if not file.stat().st_size:
+    if tsv.is_empty(spark, path):
         raise StructuralIntegrityError(path, 0, "File is empty")
-    found = tsv.header(path)
+    found = tsv.header(spark, path)
     if found != "\t".join(INPUT_COLUMNS).encode():
         raise StructuralIntegrityError(path, 1, f"Expected header {INPUT_COLUMNS}, got {found!r}")
     lines = tsv.lines(spark, path)
@@ -69,6 +68,7 @@ INVARIANTS = [
     "missing_flags_valid", "missing_flags_consistent", "normalized_missing_not_fabricated", "normalized_columns_present",
     "no_null_tokens", "row_count_match",
 ]
+HEADER_INVARIANTS = ["source_columns_present", "output_headers_correct"]
 
 
 def check_invariants(raw: DataFrame, cleaned: DataFrame, prefix: str = "") -> DataFrame:
@@ -114,9 +114,11 @@ def check_invariants(raw: DataFrame, cleaned: DataFrame, prefix: str = "") -> Da
 
 
 def verify_file_quality(spark: SparkSession, input_path: str, cleaned_path: str, prefix: str = "") -> dict:
-    """The invariants of a cleaned file against its input, each with the first line that breaks it."""
+    """The invariants of a cleaned file against its input, each with the first line that breaks it; headers are line 1."""
     cleaned = tsv.lines(spark, cleaned_path).select("line", tsv.fields(F.col("value")).alias("fields"))
     checked = check_invariants(tsv.read_raw(spark, input_path), cleaned, prefix)
     row = checked.agg(F.count(F.lit(1)).alias("rows"), *[F.min(F.when(~F.col(k), F.col("line"))).alias(k) for k in INVARIANTS]).first()
     first = {k: row[k] for k in INVARIANTS}
+    for name, path, columns in zip(HEADER_INVARIANTS, (input_path, cleaned_path), (INPUT_COLUMNS, OUTPUT_COLUMNS), strict=True):
+        first[name] = None if tsv.header(spark, path) == "\t".join(columns).encode() else 1
     return {"status": "PASSED" if not any(first.values()) else "FAILED", "rows_checked": row["rows"], "invariants": {k: v is None for k, v in first.items()}, "errors": [f"line {v}: {k}" for k, v in sorted(first.items(), key=lambda x: x[1] or 0) if v]}

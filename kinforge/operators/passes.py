@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..schema import PROVENANCE, BlockingConfig
 from ..sources.shared import stage
@@ -45,19 +44,23 @@ class Blocks:
         other = usable.select("s1_id", "source", "family", F.col("pos").alias("pos2"), F.col("key").alias("key2"))
         apart = F.when(F.col("family") == "ngram", F.abs(F.col("pos") - F.col("pos2")) >= config.ngram_size).otherwise(F.col("pos") != F.col("pos2"))
         partners = self.big.join(other, ["s1_id", "source", "family"]).where(apart)
-        wanted = partners.select(*BLOCK, "key2").distinct()
-        first = wanted.join(self.posted, BLOCK)
-        second = self.posted.withColumnRenamed("key", "key2")
-        self.common = stage(first.join(second, ["source", "country", "family", "key2", "cand_id"]), "common-postings")
-        sizes = self.common.groupBy(*BLOCK, "key2").agg(F.count(F.lit(1)).alias("n2")).where(F.col("n2") <= config.max_block_size)
-        ranked = partners.join(sizes, [*BLOCK, "key2"]).withColumn("rank", F.row_number().over(Window.partitionBy("s1_id", "source", "family", "pos").orderBy("pos2")))
-        self.refined = stage(ranked.where("rank = 1").drop("rank"), "refined-keys")
+        wanted = stage(partners.select(*BLOCK, "key2").distinct(), "wanted-partners")
+        # the blocks that meet, each as one list of at most the family's document frequency, are intersected once for
+        # each pair of keys
+        met_keys = wanted.select(*BLOCK).unionByName(wanted.select("source", "country", "family", F.col("key2").alias("key"))).distinct()
+        lists = self.posted.join(met_keys, BLOCK, "left_semi").groupBy(*BLOCK).agg(F.collect_list("cand_id").alias("ids"))
+        second = lists.withColumnsRenamed({"key": "key2", "ids": "ids2"})
+        both = wanted.join(lists, BLOCK).join(second, ["source", "country", "family", "key2"])
+        common = both.select(*BLOCK, "key2", F.array_intersect("ids", "ids2").alias("cand_ids")).withColumn("n2", F.size("cand_ids").cast("long"))
+        common = stage(common.where((F.col("n2") > 0) & (F.col("n2") <= config.max_block_size)), "common-postings")
+        ranked = partners.join(common, [*BLOCK, "key2"]).groupBy("s1_id", "pos", "n", *BLOCK).agg(F.min_by(F.struct("key2", "n2", "cand_ids"), "pos2").alias("best"))
+        self.refined = stage(ranked.select("s1_id", "pos", "n", *BLOCK, "best.*"), "refined-keys")
         self.whole = self.big.join(self.refined.select("s1_id", "source", "family", "pos"), ["s1_id", "source", "family", "pos"], "left_anti")
 
     def pairs(self) -> DataFrame:
         """Pairs with the bit of each family."""
         whole = self.small.unionByName(self.whole).select("s1_id", *BLOCK).join(self.posted, BLOCK)
-        part = self.refined.select("s1_id", *BLOCK, "key2").join(self.common, [*BLOCK, "key2"])
+        part = self.refined.select("s1_id", "source", "family", F.explode("cand_ids").alias("cand_id"))
         bit = F.lit(None).cast("int")
         for family, name in PASS_OF.items():
             bit = F.when(F.col("family") == family, PROVENANCE[name]).otherwise(bit)
@@ -109,15 +112,14 @@ def cross_country(s1: DataFrame, asked: DataFrame, candidates: DataFrame, posted
     theirs = posted.where("country <> ''").withColumnRenamed("country", "other")
     least = config.cross_country_min_rare_tokens
     tokens, their_tokens = mine.where("family = 'name'"), theirs.where("family = 'name'")
-    # who shares `least` of a record's m tokens shares one of any m - least + 1: the rarest find the pairs, then all are counted
+    # who shares `least` of a record's m tokens shares one of any m - least + 1: the rarest find the pairs, and each
+    # side brings all its tokens, so that they are counted where a pair is found
     rarity = their_tokens.groupBy("key").agg(F.count(F.lit(1)).alias("common"))
-    ranked = tokens.join(rarity, "key").withColumn("rank", F.row_number().over(Window.partitionBy("s1_id").orderBy("common", "key"))).withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("s1_id")))
-    probes = ranked.where(F.col("rank") <= F.col("m") - least + 1)
-    pairs = probes.join(their_tokens, "key").where("other <> country").select("s1_id", "source", "cand_id").distinct()
-    all_tokens = tokens.groupBy("s1_id").agg(F.collect_set("key").alias("mine"))
-    cand_tokens = their_tokens.groupBy("source", "cand_id").agg(F.collect_set("key").alias("theirs"))
-    shared = F.size(F.array_intersect("mine", "theirs"))
-    by_tokens = pairs.join(all_tokens, "s1_id").join(cand_tokens, ["source", "cand_id"]).where(shared >= least)
+    ranked = tokens.join(rarity, "key").groupBy("s1_id", "country").agg(F.sort_array(F.collect_list(F.struct("common", "key"))).alias("ranked"))
+    ranked = ranked.where(F.size("ranked") >= least).withColumn("mine", F.col("ranked.key"))
+    probes = ranked.select("s1_id", "country", "mine", F.explode(F.expr(f"slice(mine, 1, size(mine) - {least} + 1)")).alias("key"))
+    named = their_tokens.groupBy("source", "cand_id", "other").agg(F.collect_set("key").alias("theirs")).where(F.size("theirs") >= least)
+    by_tokens = probes.join(named.withColumn("key", F.explode("theirs")), "key").where("other <> country").where(F.size(F.array_intersect("mine", "theirs")) >= least)
 
     places, their_places = mine.where("family = 'num_loc'"), theirs.where("family = 'num_loc'")
     per_country = their_places.groupBy("source", "key", "other").agg(F.count(F.lit(1)).alias("c"))

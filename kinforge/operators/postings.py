@@ -56,13 +56,17 @@ def max_df(config: BlockingConfig) -> Column:
     return out
 
 
-def frequencies(posted: DataFrame, sizes: DataFrame, config: BlockingConfig) -> DataFrame:
-    """source, country, family, key, n, filtered: in how many records each key is, and whether they are too many.
+def key_counts(posted: DataFrame) -> DataFrame:
+    """source, country, family, key, n: in how many records each key is."""
+    return posted.groupBy("source", "country", "family", "key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def filtered(counts: DataFrame, sizes: DataFrame, config: BlockingConfig) -> DataFrame:
+    """counts with filtered: whether a key is in too many records.
 
     sizes has a row for each source, so it is sent to all tasks.
     """
-    counted = posted.groupBy("source", "country", "family", "key").agg(F.count(F.lit(1)).alias("n"))
-    return counted.join(F.broadcast(sizes.select("source", "total")), "source").withColumn("filtered", F.col("n") > max_df(config)).drop("total")
+    return counts.join(F.broadcast(sizes.select("source", "total")), "source").withColumn("filtered", F.col("n") > max_df(config)).drop("total")
 
 
 def query_keys(s1: DataFrame, config: BlockingConfig) -> DataFrame:

@@ -34,8 +34,10 @@ def counts(pairs: DataFrame, cap: int) -> DataFrame:
 
 
 def export(s1_ids: DataFrame, pairs: DataFrame, cap: int) -> DataFrame:
-    """s1_ids (s1_id and others) with ``candidates``: the ids kept, those of S2 before those of S3, each in order."""
-    kept = rank(pairs.where(F.col("cand_id").rlike("^S[23]-")), cap)
+    """s1_ids (s1_id and others) with ``candidates``: the ids kept, those of S2 before those of S3, each in order.
+    Pairs that have ranks already are not ranked again."""
+    told = pairs.where(F.col("cand_id").rlike("^S[23]-"))
+    kept = told.where(F.col("rank") <= cap) if "rank" in pairs.columns else rank(told, cap)
     lists = kept.groupBy("s1_id").agg(F.concat_ws(",", F.array_sort(F.collect_list("cand_id"))).alias("candidates"))
     return s1_ids.join(lists, "s1_id", "left").withColumn("candidates", F.coalesce("candidates", F.lit("")))
 

@@ -4,12 +4,71 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import passes, postings
 from ..schema import BlockingConfig
+from ..sources import shared
 from ..sources.shared import stage
 
+TABLES = ("candidates", "posted", "counts")
+
+
+def _spread(records: DataFrame) -> DataFrame:
+    """A small input in few pieces goes to all cores, which then cut its keys."""
+    cores = records.sparkSession.sparkContext.defaultParallelism
+    return records.repartition(cores) if records.rdd.getNumPartitions() < cores else records
+
+
+class CandidateIndex:
+    """What blocking knows of the candidates: records, postings and counts of keys, each a staged table.
+
+    It can be asked any number of times, grow by more candidates (only these are cut into keys), and be kept in a
+    folder. candidates (source, entity_id, name, address, country) are read often: stage them before.
+    """
+
+    def __init__(self, candidates: DataFrame, posted: DataFrame, counts: DataFrame, config: BlockingConfig):
+        self.candidates, self.posted, self.counts, self.config = candidates, posted, counts, config
+
+    @classmethod
+    def build(cls, candidates: DataFrame, config: BlockingConfig) -> CandidateIndex:
+        posted = stage(postings.postings(candidates, config), "postings")
+        return cls(candidates, posted, stage(postings.key_counts(posted), "key-counts"), config)
+
+    def add(self, candidates: DataFrame) -> CandidateIndex:
+        """An index of these and more candidates."""
+        more = CandidateIndex.build(stage(_spread(candidates), "candidates"), self.config)
+        both = self.counts.unionByName(more.counts).groupBy(*passes.BLOCK).agg(F.sum("n").alias("n"))
+        return CandidateIndex(self.candidates.unionByName(more.candidates), self.posted.unionByName(more.posted), stage(both, "key-counts"), self.config)
+
+    def save(self, folder: str) -> None:
+        for name in TABLES:
+            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str, config: BlockingConfig) -> CandidateIndex:
+        return cls(*[spark.read.parquet(f"{folder}/{name}") for name in TABLES], config)
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return postings.totals(self.candidates)
+
+    @cached_property
+    def frequencies(self) -> DataFrame:
+        return stage(postings.filtered(self.counts, self.totals, self.config), "frequencies")
+
+    @cached_property
+    def countries(self) -> DataFrame:
+        """source, country: the countries that each source's records name."""
+        return self.candidates.where("country <> ''").select("source", "country").distinct()
+
+    def size_bytes(self) -> int:
+        """Bytes of its tables' files on disk."""
+        spark = self.candidates.sparkSession
+        paths = {f.rsplit("/", 1)[0] for name in TABLES for f in getattr(self, name).inputFiles()}
+        return sum(shared.file_system(spark, p)[0].getContentSummary(shared.file_system(spark, p)[1]).getLength() for p in paths)
+
 
 class Blocking:
     """All frames of one blocking run. records: source, entity_id, name, address, country; S1 asks.
@@ -18,33 +77,42 @@ class Blocking:
     for, so that texts are normalized and cut into keys once.
     """
 
-    def __init__(self, records: DataFrame, config: BlockingConfig):
-        cores = records.sparkSession.sparkContext.defaultParallelism
-        if records.rdd.getNumPartitions() < cores:  # a small input in few pieces: keys are cut by all cores
-            records = records.repartition(cores)
-        self.records, self.config = stage(records, "records"), config
-        records = self.records
+    def __init__(self, records: DataFrame, config: BlockingConfig, index: CandidateIndex | None = None):
+        """index: the candidates; by default they are the records of records that are not of S1."""
+        records = stage(_spread(records), "records")
+        self.records, self.config, self._given = records, config, index
         self.s1 = records.where("source = 'S1'")
-        self.candidates = records.where("source <> 'S1'")
+        self._blocks: dict[tuple[str, ...], passes.Blocks] = {}
 
     @cached_property
-    def asked(self) -> DataFrame:
-        return stage(postings.query_keys(self.s1, self.config), "asked-keys")
+    def index(self) -> CandidateIndex:
+        return self._given or CandidateIndex.build(self.candidates, self.config)
 
-    @cached_property
+    @property
+    def candidates(self) -> DataFrame:
+        return self._given.candidates if self._given else self.records.where("source <> 'S1'")
+
+    @property
     def posted(self) -> DataFrame:
-        return stage(postings.postings(self.candidates, self.config), "postings")
+        return self.index.posted
 
-    @cached_property
+    @property
     def totals(self) -> DataFrame:
-        return postings.totals(self.candidates)
+        return self.index.totals
 
-    @cached_property
+    @property
     def frequencies(self) -> DataFrame:
-        return stage(postings.frequencies(self.posted, self.totals, self.config), "frequencies")
+        return self.index.frequencies
+
+    @cached_property
+    def asked(self) -> DataFrame:
+        return stage(postings.query_keys(self.s1, self.config), "asked-keys")
 
     def blocks(self, *families: str) -> passes.Blocks:
-        return passes.Blocks(self.asked, self.posted, self.frequencies, self.config, families or postings.FAMILIES)
+        families = families or postings.FAMILIES
+        if families not in self._blocks:
+            self._blocks[families] = passes.Blocks(self.asked, self.posted, self.frequencies, self.config, families)
+        return self._blocks[families]
 
     def exact_name(self) -> DataFrame:
         return passes.exact_name(self.s1, self.candidates)
@@ -69,7 +137,8 @@ class Blocking:
         return stage(passes.merge(*found), "pairs")
 
 
-def candidates_for(record: tuple[str, str, str, str], candidates: DataFrame, config: BlockingConfig) -> dict[str, int]:
-    """Candidate ids and masks of one normalized record: id, name, address, country."""
-    row = candidates.sparkSession.createDataFrame([("S1", *record)], "source string, entity_id string, name string, address string, country string")
-    return {r["cand_id"]: r["provenance"] for r in Blocking(row.unionByName(candidates), config).pairs.collect()}
+def candidates_for(record: tuple[str, str, str, str], candidates: DataFrame | CandidateIndex, config: BlockingConfig) -> dict[str, int]:
+    """Candidate ids and masks of one normalized record: id, name, address, country. An index is asked as it is."""
+    index = candidates if isinstance(candidates, CandidateIndex) else CandidateIndex.build(stage(_spread(candidates), "candidates"), config)
+    row = index.candidates.sparkSession.createDataFrame([("S1", *record)], "source string, entity_id string, name string, address string, country string")
+    return {r["cand_id"]: r["provenance"] for r in Blocking(row, config, index).pairs.collect()}

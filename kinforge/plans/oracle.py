@@ -6,7 +6,8 @@ space, and of their letters only ß folds to something else than its lower case.
 
 from __future__ import annotations
 
-from ..schema import ADDRESS_STOPLIST, LEGAL_STOPLIST, PROVENANCE, STRUCTURAL_NOISE
+from ..operators.cleaning import HEADER_INVARIANTS, INVARIANTS
+from ..schema import ADDRESS_STOPLIST, LEGAL_STOPLIST, OUTPUT_COLUMNS, PROVENANCE, STRUCTURAL_NOISE
 from .entities import CONFIG
 
 CAPS = (1, 2, 3, 5, 10)
@@ -180,6 +181,21 @@ def _at(p: float) -> str:
     return f"coalesce(min(CASE WHEN below > CAST(floor(total * {p}::DOUBLE) AS BIGINT) THEN v END), 0)"
 
 
+# The files hold names of several scripts; these are spelled as their bytes are, and folded by hand.
+DECORATED = """
+dec AS (
+  SELECT doc_id, entity_id, business_address, country, substr(entity_id, 1, 2) AS source,
+         CASE doc_id % 6 WHEN 0 THEN 'ООО “' || business_name || '”' WHEN 1 THEN business_name || ' cafe' || chr(769) WHEN 2 THEN chr(160) || 'Straße – ' || business_name
+                         WHEN 3 THEN 'राम' || chr(8195) || business_name WHEN 4 THEN '株式会社' || business_name ELSE business_name END AS business_name,
+         1 + row_number() OVER (PARTITION BY substr(entity_id, 1, 2) ORDER BY doc_id) AS line FROM ent),
+dcl AS (
+  SELECT *, replace(lower(nfc_normalize(trim(regexp_replace(translate(business_name, '“”–' || chr(160) || chr(8195), '""-  '), ' +', ' ', 'g')))), 'ß', 'ss') AS name,
+         NORM_ADDRESS AS address, NORM_COUNTRY AS ctry, trim(business_name) = '' AS no_name, trim(business_address) = '' AS no_address, trim(country) = '' AS no_country FROM dec)""".replace("NORM_ADDRESS", _norm("business_address")).replace("NORM_COUNTRY", _norm("country"))
+_FLAG = lambda c: f"CASE WHEN {c} THEN 'True' ELSE 'False' END"
+_CELLS = "entity_id, business_name, business_address, country, name, address, ctry"
+_LINE = "concat_ws(chr(9), " + _CELLS + ", " + ", ".join(map(_FLAG, ("no_name", "no_address", "no_country"))) + ")"
+_HELD = f"CAST('0x' || left(sha256(s1_id || '_{CONFIG.holdout_salt}'), 8) AS BIGINT) % 10000 < 5000"
+
 ORACLES: dict[str, str] = {
     "normalized_columns": _with([ENTITIES], "SELECT entity_id, name AS business_name_normalized, address AS business_address_normalized, ctry AS country_normalized FROM cl"),
     "missing_flags": _with([ENTITIES], "SELECT entity_id, trim(business_name) = '' AS business_name_is_missing, trim(business_address) = '' AS business_address_is_missing, trim(country) = '' AS country_is_missing FROM cl"),
@@ -273,4 +289,42 @@ ORACLES: dict[str, str] = {
       SELECT 'unknown_id', id FROM i WHERE regexp_matches(id, '^S[23]-') AND id NOT IN (SELECT cand_id FROM ca) UNION ALL
       SELECT 'missing_required', s1_id FROM s1 WHERE s1_id NOT IN (SELECT s1_id FROM results)"""),
     "matched_not_candidate": _with([*_ALL, RANKED, TRUTH, RESULTS], "SELECT DISTINCT s1_id FROM (SELECT s1_id, unnest(l) AS id FROM results) m WHERE NOT EXISTS (SELECT 1 FROM ranked r WHERE r.s1_id = m.s1_id AND r.cand_id = m.id AND rank_no <= 1)"),
+    "file_raw_rows": _with([ENTITIES, DECORATED], "SELECT source, line, entity_id, business_name, business_address, country FROM dec"),
+    "file_cleaned_rows": _with([ENTITIES, DECORATED], "SELECT source, line, entity_id, business_name, business_address, country, name AS business_name_normalized, address AS business_address_normalized, ctry AS country_normalized, " + ", ".join(f"{_FLAG(f'no_{c}')} AS {n}_is_missing" for c, n in (("name", "business_name"), ("address", "business_address"), ("country", "country"))) + " FROM dcl"),
+    "file_first_rows": _with([ENTITIES, DECORATED], "SELECT entity_id FROM dec WHERE line <= 8"),
+    "file_manifest": _with([ENTITIES, DECORATED], f"SELECT 'train/train_source' || source[2:] || '.tsv' AS name, count(*) AS n_rows, sha256('{chr(9).join(OUTPUT_COLUMNS)}' || chr(10) || string_agg({_LINE} || chr(10), '' ORDER BY line)) AS sha256, true AS unchanged FROM dcl GROUP BY source"),
+    "file_profile": _with([ENTITIES, DECORATED], """
+      SELECT 'train/train_source' || source[2:] || '.tsv' AS name, count(*) AS n_rows, count(*) FILTER (no_name) AS no_name, count(*) FILTER (no_address) AS no_address, count(*) FILTER (no_country) AS no_country,
+             count(*) FILTER (length(business_name) <> strlen(business_name)) AS non_ascii_names FROM dcl GROUP BY source
+      UNION ALL SELECT 'all', count(*), NULL, NULL, NULL, NULL FROM dcl"""),
+    "file_quality": "SELECT invariant, invariant NOT IN ('output_headers_correct', 'normalized_columns_present', 'row_count_match') AS holds FROM (SELECT unnest(" + _list(HEADER_INVARIANTS + INVARIANTS) + ") AS invariant)",
+    "file_truth": _with([ENTITIES], "SELECT entity_id AS s1_id, CASE doc_id // 3 % 4 WHEN 1 THEN 'S3-last' WHEN 2 THEN 'S2-c' ELSE '' END AS matched FROM ent WHERE doc_id % 3 = 0"),
+    "file_candidates": _with([*_ALL, RANKED], f"SELECT s1_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS candidates FROM s1 LEFT JOIN (SELECT * FROM ranked WHERE rank_no <= {CONFIG.max_candidates_per_source}) USING (s1_id) GROUP BY s1_id"),
+    "file_diagnostics": _with(_ALL, f"""
+      , c AS (SELECT s1_id, source, count(*) AS g, least(count(*), {CONFIG.max_candidates_per_source}) AS r FROM pairs GROUP BY ALL),
+      e AS (SELECT source, true AS refined, false AS filtered FROM refined UNION ALL SELECT source, false, false FROM whole UNION ALL SELECT source, false, true FROM met WHERE filtered AND family = 'name')
+      SELECT 'total_s1_entities' AS counter, count(*) AS n FROM s1 UNION ALL SELECT 'total_candidate_pairs_generated', CAST(sum(g) AS BIGINT) FROM c UNION ALL SELECT 'total_candidate_pairs_retained', CAST(sum(r) AS BIGINT) FROM c
+      UNION ALL SELECT 'total_candidate_pairs_truncated_by_caps', CAST(sum(g - r) AS BIGINT) FROM c UNION ALL SELECT 's1_capped_by_safety_budget', count(DISTINCT s1_id) FROM c WHERE g > r
+      UNION ALL SELECT 'total_overflow_events', count(*) FROM e UNION ALL SELECT 'refined_overflow_events', count(*) FROM e WHERE refined UNION ALL SELECT 'unrefined_retained_events', count(*) FROM e WHERE NOT refined AND NOT filtered
+      UNION ALL SELECT 'filtered_high_df_events', count(*) FROM e WHERE filtered UNION ALL SELECT 's2_overflows', count(*) FROM e WHERE source = 'S2' UNION ALL SELECT 's3_overflows', count(*) FROM e WHERE source = 'S3'"""),
+    "file_sweep": _with([*_ALL, RANKED, TRUTH], f"""
+      , h AS (SELECT s1_id FROM s1 WHERE {_HELD}), t AS (SELECT gt.* FROM gt JOIN h USING (s1_id)), c AS (SELECT unnest([1, 2, 5]) AS cap),
+      x AS (SELECT cap, r.s1_id, r.source, count(*) AS g, least(count(*), any_value(cap)) AS k, count(*) FILTER (rank_no <= cap AND t.cand_id IS NOT NULL) AS hits
+            FROM c, ranked r JOIN h USING (s1_id) LEFT JOIN t ON t.s1_id = r.s1_id AND t.cand_id = r.cand_id GROUP BY cap, r.s1_id, r.source)
+      SELECT CAST(cap AS BIGINT) AS cap, (SELECT count(*) FROM h) AS validation_s1_count, (SELECT count(*) FROM t) AS true_pairs, CAST(sum(hits) AS BIGINT) AS retrieved_true_pairs, (SELECT count(*) FROM t) - CAST(sum(hits) AS BIGINT) AS missed_true_pairs,
+             CAST(sum(g) AS BIGINT) AS generated_pairs, CAST(sum(k) AS BIGINT) AS retained_pairs, CAST(sum(g - k) AS BIGINT) AS truncated_pairs, count(DISTINCT s1_id) FILTER (g > k) AS capped_s1_count FROM x GROUP BY cap"""),
+    "production_projection": _with(_ALL, f"SELECT (SELECT 10 * count(*) FROM s1) AS s1, CAST(10 * sum(g) AS BIGINT) AS generated, CAST(10 * sum(least(g, {CONFIG.max_candidates_per_source})) AS BIGINT) AS retained, CAST(10000 AS BIGINT) AS bytes FROM (SELECT count(*) AS g FROM pairs GROUP BY s1_id, source)"),
+    "check_lines": _with([ENTITIES], """
+      , r AS (SELECT entity_id AS id, doc_id AS no, doc_id % 14 AS k FROM ent WHERE doc_id % 3 = 0)
+      SELECT 'malformed_row' AS rule, CAST(no + 2 AS VARCHAR) AS id FROM r WHERE k = 0 UNION ALL SELECT 'missing_required', id FROM r WHERE k IN (0, 2)
+      UNION ALL SELECT DISTINCT 'wrong_prefix', ' S3-00000002' FROM r WHERE k = 4 UNION ALL SELECT 'duplicate_in_list', id FROM r WHERE k = 6"""),
+    "check_tallies": _with([ENTITIES], "SELECT count(*) FILTER (k NOT IN (0, 2)) AS n_rows, count(*) FILTER (k = 8) AS n_empty, count(*) FILTER (k NOT IN (0, 2, 8)) AS n_filled FROM (SELECT doc_id % 14 AS k FROM ent WHERE doc_id % 3 = 0)"),
+    "file_check": _with([ENTITIES], """
+      , r AS (SELECT doc_id % 14 AS k FROM ent WHERE doc_id % 3 = 0)
+      SELECT 'malformed_row' AS rule, count(*) AS n FROM r WHERE k = 0 UNION ALL SELECT 'missing_required', count(*) FROM r WHERE k IN (0, 2) UNION ALL SELECT 'wrong_prefix', CAST(1 AS BIGINT) UNION ALL SELECT 'duplicate_in_list', count(*) FROM r WHERE k = 6"""),
+    "one_record_candidates": _with(_ALL, "SELECT cand_id, provenance FROM pairs WHERE s1_id = (SELECT min(s1_id) FROM s1)"),
+    "grown_index": _with([ENTITIES, TOKENS, POSTINGS], "SELECT source, country, family, key, n, filtered FROM freq"),
+    "index_countries": _with([ENTITIES], "SELECT DISTINCT source, ctry AS country FROM cl WHERE source <> 'S1' AND ctry <> ''"),
+    "store_capped": _with([*_ALL, RANKED], "SELECT s1_id, cand_id, provenance, rank_no FROM ranked WHERE rank_no <= 2"),
+    "stream_pairs": _with([*_ALL, RANKED], f"SELECT s1_id, cand_id, rank_no FROM ranked WHERE rank_no <= {CONFIG.max_candidates_per_source}"),
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import keys
 from ..operators import checker, cleaning, evaluation, passes, profiling, ranking
 from ..schema import FLAG_COLUMNS, INPUT_COLUMNS, OUTPUT_COLUMNS
-from . import entities
+from . import entities, file_queries
 from .blocking import Blocking
 from .sweep import cap_summary
 
@@ -269,4 +269,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "macro_f05": macro_f05,
     "check_errors": check_errors,
     "matched_not_candidate": matched_not_candidate,
-}
+} | file_queries.QUERIES

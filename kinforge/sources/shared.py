@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,17 @@ def scope(spark: SparkSession) -> Iterator[None]:
             files.cancelDeleteOnExit(at)
 
 
+def scoped(function: Callable) -> Callable:
+    """A function whose first argument is the session, in a scope of its own."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args, **kwargs):
+        with scope(spark):
+            return function(spark, *args, **kwargs)
+
+    return run
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write df and return it as read back; its rows are computed once, however often they are used."""
     spark = df.sparkSession

@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.unicode_classes import SPACE
 from ..schema import INPUT_COLUMNS, OUTPUT_COLUMNS
+from .shared import file_system
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
@@ -28,10 +30,26 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return numbered.where("line > 1")
 
 
-def header(path: str) -> bytes:
-    """The first line's bytes without its end, byte-order mark included."""
-    with open(path.removeprefix("file:"), "rb") as f:
-        return f.readline().rstrip(b"\r\n")
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = file_system(spark, str(path))
+    return files.exists(at)
+
+
+def header(spark: SparkSession, path: str) -> bytes:
+    """The first line's bytes without its end, byte-order mark included; of any file that Spark can read."""
+    files, at = file_system(spark, str(path))
+    stream, found = files.open(at), b""
+    try:
+        while b"\n" not in found and (more := bytes(stream.readNBytes(1 << 16))):
+            found += more
+    finally:
+        stream.close()
+    return found.split(b"\n", 1)[0].rstrip(b"\r")
+
+
+def is_empty(spark: SparkSession, path: str) -> bool:
+    files, at = file_system(spark, str(path))
+    return files.getFileStatus(at).getLen() == 0
 
 
 def fields(value: Column) -> Column:
@@ -46,43 +64,54 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def read_cleaned(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
     """line and ten columns of a cleaned file; rows with fewer are skipped. max_rows: in the file's order."""
-    if len(header(path).split(b"\t")) < len(OUTPUT_COLUMNS):
+    if len(header(spark, path).split(b"\t")) < len(OUTPUT_COLUMNS):
         raise AssertionError(f"{path}: a cleaned file has at least {len(OUTPUT_COLUMNS)} columns")
     cut = fields(F.col("value"))
     found = lines(spark, path).where(F.size(cut) >= len(OUTPUT_COLUMNS)).select("line", *[cut[i].alias(c) for i, c in enumerate(OUTPUT_COLUMNS)])
     return found if max_rows is None else found.orderBy("line").limit(max_rows)
 
 
+def strip(value: Column) -> Column:
+    """Without white space of any script at both ends."""
+    return F.regexp_replace(value, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+
+
 def ground_truth(spark: SparkSession, path: str) -> DataFrame:
-    """s1_id and matched (array of distinct ids); of rows that repeat an id the last holds."""
+    """s1_id and matched (array of distinct ids), as they stand; of rows that repeat an id the last holds."""
     cut = fields(F.col("value"))
-    matched = F.array_distinct(F.filter(F.split(F.coalesce(F.get(cut, F.lit(1)), F.lit("")), ","), lambda e: F.trim(e) != ""))
-    rows = lines(spark, path).select("line", cut[0].alias("s1_id"), F.transform(matched, lambda e: F.trim(e)).alias("matched")).where("s1_id <> ''")
-    return rows.groupBy("s1_id").agg(F.max_by("matched", "line").alias("matched"))
+    matched = F.array_distinct(F.filter(F.split(F.coalesce(F.get(cut, F.lit(1)), F.lit("")), ",", -1), lambda e: e != ""))
+    return lines(spark, path).select("line", cut[0].alias("s1_id"), matched.alias("matched")).groupBy("s1_id").agg(F.max_by("matched", "line").alias("matched"))
 
 
 def first_column(spark: SparkSession, path: str) -> DataFrame:
-    """The distinct, trimmed, non-blank values of the first column after the header."""
-    return lines(spark, path).select(F.trim(fields(F.col("value"))[0]).alias("id")).where("id <> ''").distinct()
-
-
-def write_lines(rows: DataFrame, order: str, path: Path, first: str | None = None) -> None:
-    """Write column value in order into one file: parts by range of order, then joined as streams and moved."""
-    parts = path.with_name(f".{path.name}.parts")
-    rows.orderBy(order).select("value").write.mode("overwrite").option("lineSep", "\n").text(str(parts))
-    temporary = path.with_name(f".{path.name}.tmp")
-    with open(temporary, "wb") as out:
+    """The distinct, stripped values of the first column after the header; blank lines are skipped."""
+    return lines(spark, path).where(strip(F.col("value")) != "").select(strip(fields(F.col("value"))[0]).alias("id")).distinct()
+
+
+def write_lines(rows: DataFrame, order: str, path: Path | str, first: str | None = None) -> None:
+    """Write column value in order into one file of any file system: parts by range of order, then joined as streams
+    and moved."""
+    spark, target = rows.sparkSession, str(path)
+    folder, _, name = target.rpartition("/")
+    parts, temporary = (f"{folder}/{'.' if folder else './.'}{name}.{end}" for end in ("parts", "tmp"))
+    rows.orderBy(order).select("value").write.mode("overwrite").option("lineSep", "\n").text(parts)
+    files, at = file_system(spark, temporary)
+    out = files.create(at, True)
+    try:
         if first is not None:
             out.write(first.encode() + b"\n")
-        for part in sorted(parts.glob("part-*")):
-            with open(part, "rb") as f:
-                while block := f.read(1 << 20):
-                    out.write(block)
-            part.unlink()
-    for rest in parts.iterdir():
-        rest.unlink()
-    parts.rmdir()
-    temporary.replace(path)
+        found = files.globStatus(file_system(spark, f"{parts}/part-*")[1])
+        for part in sorted(str(f.getPath()) for f in found):
+            stream = files.open(file_system(spark, part)[1])
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+            stream.close()
+    finally:
+        out.close()
+    files.delete(file_system(spark, parts)[1], True)
+    end = file_system(spark, target)[1]
+    files.delete(end, False)
+    if not files.rename(at, end):
+        raise OSError(f"{temporary} could not be moved to {target}")
 
 
 def sha256_file(path: Path, block: int = 1 << 20) -> str:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kinforge.operators import evaluation, passes, ranking
 from kinforge.operators.store import CandidateStore
-from kinforge.plans.blocking import Blocking, candidates_for
+from kinforge.plans.blocking import Blocking, CandidateIndex, candidates_for
 from kinforge.schema import PROVENANCE, BlockingConfig
 
 RECORD = "source string, entity_id string, name string, address string, country string"
@@ -168,6 +168,34 @@ def test_store(spark, tmp_path):
     assert store.capped(1).count() == 3
 
 
+def test_store_export(spark, tmp_path):
+    store = CandidateStore(spark, str(tmp_path / "store"))
+    store.add(spark.createDataFrame([("S1-2", "S3", "S3-1", 1), ("S1-2", "S2", "S2-9", 1), ("S1-2", "S2", "S2-1", 2)], "s1_id string, source string, cand_id string, provenance int"))
+    (tmp_path / "s1.tsv").write_text("entity_id\tname\nS1-9\tx\nS1-2\ty\n")
+    told = store.export_tsv(str(tmp_path / "lists.tsv"), str(tmp_path / "s1.tsv"), 1)
+    assert (tmp_path / "lists.tsv").read_text() == "S1-9\t\nS1-2\tS2-9,S3-1\n"
+    assert (told["total_candidate_pairs_generated"], told["total_candidate_pairs_truncated_by_caps"], told["s1_capped_by_safety_budget"]) == (3, 1, 1)
+    # a compaction that was cut off after the old files lost their name
+    (tmp_path / "store").rename(tmp_path / "store.old")
+    assert store.pairs().count() == 3
+
+
+def test_index(spark, tmp_path):
+    """An index answers many times, grows, and comes back from its folder."""
+    rows = [s2(i, f"popular biz{i}") for i in range(8)] + [s2(20, "rare", country="fr"), s2(21, "none", country="")]
+    frame = lambda part: spark.createDataFrame(part, RECORD)
+    config = BlockingConfig(max_name_df_absolute=6)
+    whole = CandidateIndex.build(frame(rows), config)
+    grown = CandidateIndex.build(frame(rows[:5]), config).add(frame(rows[5:]))
+    grown.save(f"file://{tmp_path}/index")
+    back = CandidateIndex.load(spark, f"file://{tmp_path}/index", config)
+    for index in (grown, back):
+        assert sorted(map(tuple, index.frequencies.collect())) == sorted(map(tuple, whole.frequencies.collect()))
+        assert candidates_for(("S1-1", "rare", "", "us"), index, config) == candidates_for(("S1-1", "rare", "", "us"), whole, config)
+    assert {r["country"] for r in whole.countries.collect()} == {"us", "fr"}
+    assert back.size_bytes() > 0
+
+
 def test_one_record(spark):
     stored = spark.createDataFrame([s2(1, "omega works"), s2(2, "delta")], RECORD)
     assert candidates_for(("S1-1", "omega works", "", "us"), stored, BlockingConfig()) == {"S2-1": PROVENANCE["exact_name"] | PROVENANCE["rare_name_token"] | PROVENANCE["compact_char_ngram"]}

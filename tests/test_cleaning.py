@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -73,10 +74,34 @@ def test_clean_and_verify(spark, tmp_path):
         found = cleaning.verify_file_quality(spark, str(path), str(bad), "S1-")
         assert found["status"] == "FAILED"
         assert not found["invariants"][broken]
+    bad.write_text("\n".join([lines[0].replace("country", "land", 1), *lines[1:]]) + "\n", encoding="utf-8")
+    assert [k for k, v in cleaning.verify_file_quality(spark, str(path), str(bad), "S1-")["invariants"].items() if not v] == ["output_headers_correct"]
+    assert cleaning.verify_file_quality(spark, str(bad), str(out), "S1-")["invariants"]["source_columns_present"] is False
     bad.write_text("\n".join(lines[:-1]) + "\n", encoding="utf-8")
     assert not cleaning.verify_file_quality(spark, str(path), str(bad), "S1-")["invariants"]["row_count_match"]
 
 
+def test_cleaning_repeats(spark, tmp_path):
+    """Two runs publish the same bytes, and the manifest's digests are the files'."""
+    for n in (1, 2, 3):
+        write(tmp_path / "in" / "train" / f"train_source{n}.tsv", *[f"S{n}-{i}\tАльфа {i}\t1 Main\tUS" for i in range(50)])
+    seen = []
+    for out in ("a", "b"):
+        run_cleaning_pipeline(spark, tmp_path / "in", tmp_path / out, ["train"])
+        manifest = json.loads((tmp_path / out / "reports" / "manifest.json").read_text())["files"]
+        assert all(hashlib.sha256((tmp_path / out / name).read_bytes()).hexdigest() == f["sha256"] for name, f in manifest.items())
+        seen.append(manifest)
+    assert seen[0] == seen[1]
+
+
+def test_cleaning_failure_leaves_nothing(spark, tmp_path):
+    for n in (1, 2, 3):
+        write(tmp_path / "in" / "train" / f"train_source{n}.tsv", f"S{n}-1\ta\tb\tUS" if n < 3 else "S9-1\ta\tb\tUS")
+    with pytest.raises(StructuralIntegrityError):
+        run_cleaning_pipeline(spark, tmp_path / "in", tmp_path / "out", ["train"])
+    assert not (tmp_path / "out").exists() or not list((tmp_path / "out").iterdir())
+
+
 def test_quantiles(spark, tmp_path):
     path = write(tmp_path / "s.tsv", *[f"S1-{i}\t{'x' * n}\ta\tUS" for i, n in enumerate((10, 20, 20, 30, 40, 50, 100))])
     summary = clean_and_profile_file(spark, path, tmp_path / "o.tsv")["length_summaries"]["business_name"]
