@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 #: Bytes of text that a kernel sees at once; longer single texts are seen alone.
 CHUNK_BYTES = 1 << 20
+#: Bytes of a batch that Spark sends to a Python worker; a longer row is sent alone.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 #: The six characters of [\x20\x09-\x0D]; they separate words, as bytes.split() does.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -57,7 +59,14 @@ def release() -> None:
 
 
 def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch], schema: StructType | str, text: str, chunk_bytes: int = CHUNK_BYTES, done: Callable[[], None] | None = None) -> DataFrame:
-    """Run kernel over df's batches, cut by bytes of the column text; done is called when a task ends."""
+    """Run kernel over df's batches, cut by bytes of the column text; done is called when a task ends.
+
+    The session's Arrow batches are bounded from here on, as a batch of ten thousand long texts fits in no task.
+    """
+    conf = df.sparkSession.conf
+    told = conf.get(BATCH_SETTING).removesuffix("b")  # a number of bytes unless the user gave it a unit
+    if told.isdigit() and int(told) > BATCH_BYTES:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
@@ -73,15 +82,14 @@ def map_texts(df: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch],
 
 
 @contextlib.contextmanager
-def small_batches(spark: SparkSession, size: int = 8 << 20) -> Iterator[None]:
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
     """Within it, what is run sends Python workers batches of at most size bytes or one row."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, size)
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, size)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(BATCH_SETTING, before)
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

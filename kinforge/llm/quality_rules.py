@@ -61,7 +61,9 @@ FLOORS = {"chars_per_token": 0.9, "chars_per_token_multi": 0.9, "byte_share": 0.
 #: Bins a unit of the histograms of measures and of their distances.
 BINS = 1000
 #: Words remembered by a task at most.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Bytes of text that are measured at once.
+CHUNK_BYTES = 1 << 18
 
 
 class Fertility:
@@ -226,7 +228,9 @@ def _samples() -> Column:
 
 def _language_bands(measured: DataFrame) -> DataFrame:
     """measure, key, median, n and error of each band."""
-    texts = measured.where("not rules.base_failed").select("hash", "key", "rules").dropDuplicates(["key", "hash"])
+    numbers = ["n_tokens", "n_tokens_multi", *FLOORS]
+    texts = measured.where("not rules.base_failed").select("hash", "key", *[f"rules.{c}" for c in numbers])
+    texts = texts.groupBy("key", "hash").agg(*[F.first(c).alias(c) for c in numbers]).withColumn("rules", F.struct(*numbers))
     texts = stage(texts.select(F.inline(_samples())), "fertility-texts")
     medians = stage(_median(texts, F.col("x")), "fertility-medians")
     apart = texts.join(medians, ["measure", "key"]).select("measure", "key", (F.abs(F.col("x") - F.col("median")) * F.col("weight")).alias("distance"))
@@ -252,7 +256,7 @@ def judge(docs: DataFrame, text_col: str = "text", carry: list[str] | None = Non
 
     schema = StructType([rows.schema["row"], rows.schema["lang"], rows.schema["hash"], StructField("rules", StructType.fromDDL(MEASURES))])
     with small_batches(docs.sparkSession):
-        measured = stage(map_texts(rows, kernel, schema, "text", done=lambda: _fertility(vocabulary, multi_vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
+        measured = stage(map_texts(rows, kernel, schema, "text", CHUNK_BYTES, done=lambda: _fertility(vocabulary, multi_vocabulary).memory.reset()).withColumn("key", F.coalesce("lang", "rules.script")), "measured")
     bands = stage(_language_bands(measured), "fertility-bands")
     judged = measured.withColumn("samples", _samples())
     errors, out = [], F.lit(False)
