@@ -39,7 +39,9 @@ CAPACITY, END_ID = 2048, 0
 #: Rows of one length that a task ranks, about.
 CLASS_ROWS = 1 << 17
 #: Words, and pieces of words, remembered by a task at most.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+#: Bytes of text that are tokenised at once.
+CHUNK_BYTES = 1 << 21
 
 
 #: What the vocabulary's file cuts lowered text into, and the single spaces that words are joined by here.
@@ -47,7 +49,7 @@ _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
 #: Code points below this go through matrices, but for those in _ODD.
 _LATIN_END = 0x250
 #: What lower() and NFC may not treat letter by letter or take beyond _LATIN_END, and where special tokens begin.
-_ODD = regex.compile("[^" + "".join(regex.escape(c) for c in map(chr, range(_LATIN_END)) if len(c.lower()) == 1 and ord(c.lower()) < _LATIN_END) + r"]|<\|")
+_ODD = regex.compile("[" + "".join(f"\\u{n:04x}" for n in range(_LATIN_END) if len(chr(n).lower()) > 1 or ord(chr(n).lower()) >= _LATIN_END) + rf"\u{_LATIN_END:04x}-\U0010FFFF]|<\|")
 
 
 class Words:
@@ -151,7 +153,7 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
         )
 
     schema = StructType([rows.schema["doc_id"], StructField("piece", IntegerType()), StructField("start", LongType()), StructField("length", LongType()), StructField("ids", BinaryType())])
-    return map_texts(rows, kernel, schema, "text", done=lambda: _words(path).forget())
+    return map_texts(rows, kernel, schema, "text", CHUNK_BYTES, done=lambda: _words(path).forget())
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
