@@ -37,7 +37,7 @@ from .staging import stage
 
 CAPACITY, END_ID = 2048, 0
 #: Rows of one length that a task ranks, about.
-CLASS_ROWS = 1 << 17
+CLASS_ROWS = 1 << 10
 #: Words, and pieces of words, remembered by a task at most.
 REMEMBERED = 600_000
 #: Bytes of text that are tokenised at once.

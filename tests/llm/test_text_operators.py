@@ -86,7 +86,7 @@ def check_packed(rows, texts, capacity=2048):
     return len(bins), sum(r["length"] for r in rows)
 
 
-@pytest.mark.parametrize("class_rows", [1 << 17, 20])
+@pytest.mark.parametrize("class_rows", [1 << 10, 20])
 def test_packing(spark, documents, clashing, nothing, monkeypatch, class_rows):
     """class_rows: 20 ranks each common length in several classes."""
     monkeypatch.setattr(packing, "CLASS_ROWS", class_rows)
