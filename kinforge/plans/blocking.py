@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,13 +129,26 @@ class Blocking:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """s1_id, source, cand_id, provenance."""
-        found = [self.exact_name(), self.blocks().pairs()]
+        """s1_id, source, cand_id, provenance. The passes that refine no blocks are written while these are refined, as
+        neither fills the cluster alone."""
+        with ThreadPoolExecutor(2) as beside:
+            asked = beside.submit(lambda: self.asked)
+            self.index.frequencies  # noqa: B018 - staged now
+            asked.result()
+            others = beside.submit(self._others)
+            blocks = self.blocks().pairs()
+            return stage(passes.merge(blocks, others.result()), "pairs")
+
+    def _others(self) -> DataFrame:
+        found = [self.exact_name()]
         if self.config.allow_cross_country_high_specificity:
             found.append(self.cross_country())
         if self.config.allow_missing_country_fallback:
             found += [self.missing_country(), self.global_fallback()]
-        return stage(passes.merge(*found), "pairs")
+        rows = found[0]
+        for more in found[1:]:
+            rows = rows.unionByName(more)
+        return stage(rows, "other-passes")
 
 
 def candidates_for(record: tuple[str, str, str, str], candidates: DataFrame | CandidateIndex, config: BlockingConfig) -> dict[str, int]:
