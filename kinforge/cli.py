@@ -27,7 +27,7 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--split", choices=["train", "test", "val"], default="train")
         p.add_argument("--input-dir", type=Path, default=Path("cleaned"))
         p.add_argument("--output-dir", type=Path, default=Path("candidates"))
-        p.add_argument("--ground-truth", type=Path, default=Path("student_resource/dataset/train/train_ground_truth.tsv"))
+        p.add_argument("--ground-truth", type=Path, default=Path("dataset/train/train_ground_truth.tsv"))
         p.add_argument("--max-s1", type=int)
         p.add_argument("--max-cands", type=int)
         p.add_argument("--max-candidates-per-s1-per-source", "--cap", dest="cap", type=int, default=BlockingConfig().max_candidates_per_source)
