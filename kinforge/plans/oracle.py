@@ -7,7 +7,7 @@ space, and of their letters only ß folds to something else than its lower case.
 from __future__ import annotations
 
 from ..operators.cleaning import HEADER_INVARIANTS, INVARIANTS
-from ..schema import ADDRESS_STOPLIST, LEGAL_STOPLIST, OUTPUT_COLUMNS, PROVENANCE, STRUCTURAL_NOISE
+from ..schema import ADDRESS_STOPLIST, LEGAL_STOPLIST, OUTPUT_COLUMNS, PROVENANCE, STRUCTURAL_NOISE, BlockingConfig
 from .entities import CONFIG
 
 CAPS = (1, 2, 3, 5, 10)
@@ -71,10 +71,12 @@ freq AS (
                                           ELSE least({CONFIG.max_addr_df_absolute}, greatest(5, floor(total * {CONFIG.max_addr_df_relative}::DOUBLE))) END) AS filtered
   FROM posted JOIN tot USING (source) GROUP BY source, country, family, key)"""
 
-BLOCKS = f"""
+
+def _blocks(most: int) -> str:
+    return f"""
 met AS (SELECT a.*, f.source, f.n, f.filtered FROM asked a JOIN freq f USING (country, family, key) WHERE country <> ''),
 usable AS (SELECT * FROM met WHERE NOT filtered),
-big AS (SELECT * FROM usable WHERE n > {BLOCK}),
+big AS (SELECT * FROM usable WHERE n > {most}),
 partner AS (
   SELECT b.*, u.pos AS pos2, u.key AS key2 FROM big b JOIN usable u USING (s1_id, source, family)
   WHERE CASE WHEN family = 'ngram' THEN abs(b.pos - u.pos) >= {CONFIG.ngram_size} ELSE b.pos <> u.pos END),
@@ -82,18 +84,19 @@ wanted AS (SELECT DISTINCT source, country, family, key, key2 FROM partner),
 common AS (
   SELECT w.*, p.cand_id FROM wanted w JOIN posted p USING (source, country, family, key)
   JOIN posted q ON q.source = w.source AND q.country = w.country AND q.family = w.family AND q.key = w.key2 AND q.cand_id = p.cand_id),
-sizes AS (SELECT source, country, family, key, key2, count(*) AS n2 FROM common GROUP BY ALL HAVING count(*) <= {BLOCK}),
+sizes AS (SELECT source, country, family, key, key2, count(*) AS n2 FROM common GROUP BY ALL HAVING count(*) <= {most}),
 refined AS (
   SELECT * FROM partner JOIN sizes USING (source, country, family, key, key2)
   QUALIFY row_number() OVER (PARTITION BY s1_id, source, family, pos ORDER BY pos2) = 1),
 whole AS (SELECT * FROM big ANTI JOIN refined USING (s1_id, source, family, pos)),
 block_pairs AS (
   SELECT DISTINCT s1_id, source, family, cand_id FROM
-    (SELECT s1_id, source, country, family, key FROM usable WHERE n <= {BLOCK} UNION ALL SELECT s1_id, source, country, family, key FROM whole)
+    (SELECT s1_id, source, country, family, key FROM usable WHERE n <= {most} UNION ALL SELECT s1_id, source, country, family, key FROM whole)
     JOIN posted USING (source, country, family, key)
   UNION
   SELECT DISTINCT s1_id, source, family, cand_id FROM refined JOIN common USING (source, country, family, key, key2))"""
 
+
 EXACT = """
 exact AS (SELECT s1_id, source, cand_id FROM s1 JOIN ca USING (country, name) WHERE country <> '' AND name <> '')"""
 
@@ -111,7 +114,9 @@ fallback AS (
   UNION
   SELECT s1_id, p.source, cand_id FROM asked a JOIN posted p USING (family, key) WHERE a.country = '' AND family IN ('name', 'num_loc'))"""
 
-CROSS = f"""
+
+def _cross(most: int) -> str:
+    return f"""
 crossed AS (
   SELECT s1_id, source, cand_id FROM s1 JOIN ca USING (name) WHERE s1.country <> '' AND ca.country <> '' AND ca.country <> s1.country AND name <> ''
   UNION
@@ -121,7 +126,10 @@ crossed AS (
   UNION
   SELECT s1_id, source, cand_id FROM (
     SELECT s1_id, p.source, cand_id, count(*) OVER (PARTITION BY s1_id, p.source, key) AS n FROM asked a JOIN posted p USING (family, key)
-    WHERE family = 'num_loc' AND a.country <> '' AND p.country <> '' AND p.country <> a.country) WHERE n <= {BLOCK})"""
+    WHERE family = 'num_loc' AND a.country <> '' AND p.country <> '' AND p.country <> a.country) WHERE n <= {most})"""
+
+
+BLOCKS, CROSS = _blocks(BLOCK), _cross(BLOCK)
 
 _BIT = "CASE family " + " ".join(f"WHEN '{f}' THEN {PROVENANCE[p]}" for f, p in (("name", "rare_name_token"), ("addr", "address_token"), ("num_loc", "address_number_location"), ("ngram", "compact_char_ngram"))) + " END"
 PAIRS = f"""
@@ -154,6 +162,7 @@ results AS (
   FROM ids WHERE no % 11 <> 5)"""
 
 _ALL = [ENTITIES, TOKENS, POSTINGS, BLOCKS, EXACT, MISSING, GLOBAL, CROSS, PAIRS]
+_BY_DEFAULT = BlockingConfig().max_block_size
 
 
 def _with(parts: list[str], select: str) -> str:
@@ -252,6 +261,7 @@ ORACLES: dict[str, str] = {
     "cross_country_block": _with([ENTITIES, TOKENS, POSTINGS, CROSS], "SELECT s1_id, cand_id FROM crossed"),
     "merged_passes": _with([ENTITIES, TOKENS, POSTINGS, BLOCKS, EXACT], f"SELECT s1_id, cand_id, CAST(bit_or(bit) AS BIGINT) AS provenance FROM (SELECT s1_id, cand_id, {PROVENANCE['exact_name']} AS bit FROM exact UNION ALL SELECT s1_id, cand_id, {PROVENANCE['address_number_location']} FROM block_pairs WHERE family = 'num_loc') GROUP BY s1_id, cand_id"),
     "candidate_pairs": _with(_ALL, "SELECT s1_id, cand_id, provenance FROM pairs"),
+    "candidate_pairs_defaults": _with([ENTITIES, TOKENS, POSTINGS, _blocks(_BY_DEFAULT), EXACT, MISSING, GLOBAL, _cross(_BY_DEFAULT), PAIRS], "SELECT s1_id, cand_id, provenance FROM pairs"),
     "provenance_breakdown": _with(_ALL, "SELECT 'total' AS kind, 'all' AS name, count(*) AS n FROM pairs UNION ALL SELECT 'source', source, count(*) FROM pairs GROUP BY source" + "".join(f" UNION ALL SELECT 'pass', '{p}', count(*) FILTER (provenance & {b} > 0) FROM pairs" for p, b in PROVENANCE.items())),
     "evidence_tiers": _with(_ALL, "SELECT s1_id, cand_id, " + ", ".join(f"{e} AS tier_{n}" for n, e in TIER) + " FROM pairs"),
     "ranked_capped": _with([*_ALL, RANKED], "SELECT s1_id, cand_id, rank_no FROM ranked WHERE rank_no <= 3"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..operators import checker, cleaning, evaluation, passes, profiling, ranking
-from ..schema import FLAG_COLUMNS, INPUT_COLUMNS, OUTPUT_COLUMNS
+from ..schema import FLAG_COLUMNS, INPUT_COLUMNS, OUTPUT_COLUMNS, BlockingConfig
 from . import entities, file_queries
 from .blocking import Blocking
 from .sweep import cap_summary
@@ -143,6 +143,12 @@ def candidate_pairs(spark, sf_dir):
     return _blocking(spark, sf_dir).pairs.select("s1_id", "cand_id", F.col("provenance").cast("long").alias("provenance"))
 
 
+def candidate_pairs_defaults(spark, sf_dir):
+    """All passes with the default thresholds: blocks of up to a thousand."""
+    pairs = Blocking(_records(spark, sf_dir), BlockingConfig()).pairs
+    return pairs.select("s1_id", "cand_id", F.col("provenance").cast("long").alias("provenance"))
+
+
 def provenance_breakdown(spark, sf_dir):
     return ranking.provenance_breakdown(_blocking(spark, sf_dir).pairs)
 
@@ -256,6 +262,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cross_country_block": cross_country_block,
     "merged_passes": merged_passes,
     "candidate_pairs": candidate_pairs,
+    "candidate_pairs_defaults": candidate_pairs_defaults,
     "provenance_breakdown": provenance_breakdown,
     "evidence_tiers": evidence_tiers,
     "ranked_capped": ranked_capped,
