@@ -163,7 +163,7 @@ def ranked_capped(spark, sf_dir):
 
 
 def cap_counts(spark, sf_dir):
-    return ranking.counts(_blocking(spark, sf_dir).pairs, 3)
+    return ranking.capped_sizes(_blocking(spark, sf_dir).found(), 3)
 
 
 def export_rows(spark, sf_dir):
