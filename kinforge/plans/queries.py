@@ -193,7 +193,8 @@ def recall_metrics(spark, sf_dir):
 
 def cap_sweep_summary(spark, sf_dir):
     blocking = _blocking(spark, sf_dir)
-    return cap_summary(blocking.s1.select(F.col("entity_id").alias("s1_id")), blocking.pairs, entities.ground_truth(blocking.records), CAPS)
+    truth = entities.ground_truth(blocking.records)
+    return cap_summary(blocking.s1.select(F.col("entity_id").alias("s1_id")), blocking.found(0, evaluation.truth_pairs(truth)), truth, CAPS)
 
 
 def macro_f05(spark, sf_dir):
