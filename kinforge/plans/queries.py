@@ -167,8 +167,8 @@ def cap_counts(spark, sf_dir):
 
 
 def export_rows(spark, sf_dir):
-    blocking = _blocking(spark, sf_dir)
-    return ranking.export(blocking.s1.select(F.col("entity_id").alias("s1_id")), blocking.pairs, entities.CONFIG.max_candidates_per_source)
+    blocking, cap = _blocking(spark, sf_dir), entities.CONFIG.max_candidates_per_source
+    return ranking.export(blocking.s1.select(F.col("entity_id").alias("s1_id")), ranking.ranked(blocking.found(cap)), cap)
 
 
 def candidate_distribution(spark, sf_dir):
