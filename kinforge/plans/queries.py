@@ -199,7 +199,7 @@ def cap_sweep_summary(spark, sf_dir):
 
 def macro_f05(spark, sf_dir):
     blocking = _blocking(spark, sf_dir)
-    answers = ranking.rank(blocking.pairs, 1)
+    answers = ranking.ranked(blocking.found(1))
     return evaluation.macro_f05(entities.ground_truth(blocking.records), answers).withColumn("f05", F.round("f05", 9))
 
 
