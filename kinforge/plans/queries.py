@@ -188,7 +188,9 @@ def ground_truth(spark, sf_dir):
 
 def recall_metrics(spark, sf_dir):
     blocking = _blocking(spark, sf_dir)
-    return evaluation.recall(entities.ground_truth(blocking.records), blocking.pairs)
+    truth = entities.ground_truth(blocking.records)
+    found = blocking.found(0, evaluation.truth_pairs(truth))
+    return evaluation.recall(truth, ranking.ranked(found), found)
 
 
 def cap_sweep_summary(spark, sf_dir):
