@@ -23,10 +23,10 @@ def stream_candidates(arriving: DataFrame, candidates: DataFrame | CandidateInde
 
     index = candidates if isinstance(candidates, CandidateIndex) else CandidateIndex.build(stage(candidates, "candidates"), config)
 
-    index.frequencies  # noqa: B018 - staged now, as what a batch stages goes with it
+    index.keyed  # noqa: B018 - staged now, as what a batch stages goes with it
 
     def one(batch: DataFrame, number: int) -> None:
         with scope(batch.sparkSession):
-            sink(ranking.rank(Blocking(batch, config, index).pairs, config.max_candidates_per_source), number)
+            sink(ranking.ranked(Blocking(batch, config, index).found(config.max_candidates_per_source)), number)
 
     return arriving.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one).start()
