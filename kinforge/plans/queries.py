@@ -173,7 +173,7 @@ def export_rows(spark, sf_dir):
 
 def candidate_distribution(spark, sf_dir):
     blocking = _blocking(spark, sf_dir)
-    counts = evaluation.candidate_counts(blocking.s1.select(F.col("entity_id").alias("s1_id")), blocking.pairs)
+    counts = evaluation.candidate_counts(blocking.s1.select(F.col("entity_id").alias("s1_id")), blocking.found())
     found = ranking.distribution(counts, "n")
     return found.select(*[F.col(c).alias(f"d_{c}") for c in found.columns])
 
