@@ -140,7 +140,7 @@ def cross_country_block(spark, sf_dir):
 
 
 def candidate_pairs(spark, sf_dir):
-    return _blocking(spark, sf_dir).pairs.select("s1_id", "cand_id", F.col("provenance").cast("long").alias("provenance"))
+    return _blocking(spark, sf_dir).listed().select("s1_id", "cand_id", F.col("provenance").cast("long").alias("provenance"))
 
 
 def candidate_pairs_defaults(spark, sf_dir):
