@@ -145,7 +145,7 @@ def candidate_pairs(spark, sf_dir):
 
 def candidate_pairs_defaults(spark, sf_dir):
     """All passes with the default thresholds: blocks of up to a thousand."""
-    pairs = Blocking(_records(spark, sf_dir), BlockingConfig()).pairs
+    pairs = Blocking(_records(spark, sf_dir), BlockingConfig()).listed()
     return pairs.select("s1_id", "cand_id", F.col("provenance").cast("long").alias("provenance"))
 
 
