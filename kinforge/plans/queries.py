@@ -155,7 +155,7 @@ def provenance_breakdown(spark, sf_dir):
 
 def evidence_tiers(spark, sf_dir):
     names = ["exact", "bits", "rare", "num_loc", "addr", "ngram", "missing", "cross"]
-    return _blocking(spark, sf_dir).pairs.select("s1_id", "cand_id", *[t.cast("long").alias(f"tier_{n}") for t, n in zip(ranking.evidence_tier(), names, strict=True)])
+    return _blocking(spark, sf_dir).listed().select("s1_id", "cand_id", *[t.cast("long").alias(f"tier_{n}") for t, n in zip(ranking.evidence_tier(), names, strict=True)])
 
 
 def ranked_capped(spark, sf_dir):
