@@ -150,7 +150,8 @@ def candidate_pairs_defaults(spark, sf_dir):
 
 
 def provenance_breakdown(spark, sf_dir):
-    return ranking.provenance_breakdown(_blocking(spark, sf_dir).pairs)
+    masks = _blocking(spark, sf_dir).found().select("source", F.inline("masks"))
+    return ranking.breakdown_of_masks(masks.groupBy("provenance", "source").agg(F.sum("n").alias("n")))
 
 
 def evidence_tiers(spark, sf_dir):
