@@ -160,7 +160,7 @@ def evidence_tiers(spark, sf_dir):
 
 
 def ranked_capped(spark, sf_dir):
-    return ranking.rank(_blocking(spark, sf_dir).pairs, 3).select("s1_id", "cand_id", F.col("rank").cast("long").alias("rank_no"))
+    return ranking.ranked(_blocking(spark, sf_dir).found(3)).select("s1_id", "cand_id", F.col("rank").cast("long").alias("rank_no"))
 
 
 def cap_counts(spark, sf_dir):

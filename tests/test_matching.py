@@ -16,6 +16,7 @@ RECORD = "source string, entity_id string, name string, address string, country
 #: Tables with rows that grow with the pairs.
 PAIRWISE = {"pairs", "other-passes"}
 QUERIES = [
+    "ranked_capped",
     "provenance_breakdown",
     "file_diagnostics",
     "cross_country_block",
