@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from kinforge.operators import matching, ranking
-from kinforge.plans import blocking, linkage
+from kinforge.operators import matching, passes, ranking
+from kinforge.plans import blocking, file_queries, linkage
 from kinforge.plans.blocking import Blocking
 from kinforge.schema import BlockingConfig
 
@@ -82,3 +82,29 @@ def test_scores_order_as_evidence_tiers(spark):
     masks = spark.range(128).select(F.col("id").cast("int").alias("provenance"))
     tiers = {r["provenance"]: tuple(r["t"]) for r in masks.select("provenance", F.array(*ranking.evidence_tier()).alias("t")).collect()}
     assert sorted(tiers, key=tiers.get) == sorted(tiers, key=matching.scores().__getitem__)
+
+
+@pytest.mark.parametrize("relative", [1.0, 0.0])
+def test_events_are_those_of_the_joins(spark, relative):
+    rows = records(spark).unionByName(spark.createDataFrame([("S1", "S1-alone", "wa", "", "us")], RECORD))
+    b = Blocking(rows, BlockingConfig(max_block_size=3, max_name_df_relative=relative, max_addr_df_relative=1.0, max_ngram_df_relative=1.0))
+    kind = F.when(F.col("is_filtered"), "filtered").when(F.col("refined"), "refined").otherwise("retained")
+    expected = {(r["s1_id"], r["source"], r["kind"]): r["count"] for r in b.blocks().events().groupBy("s1_id", "source", kind.alias("kind")).count().collect()}
+    met = b.found(1, events=True)
+    assert {(r["s1_id"], r["source"], k): r[k] for r in met.collect() for k in matching.EVENTS if r[k]} == expected
+    assert {k for _, _, k in expected} == {"refined", "retained", "filtered"} - ({"filtered"} if relative else set())
+    assert sorted(map(str, met.where("generated > 0").drop(*matching.EVENTS).collect())) == sorted(map(str, b.found(1).collect()))
+    told = linkage.overflow_summary(met)
+    assert told["total_overflow_events"] == sum(expected.values())
+    assert told["s3_overflows"] == sum(n for (_, s, _), n in expected.items() if s == "S3")
+
+
+@pytest.mark.parametrize("name", ["file_diagnostics", "production_projection"])
+def test_files_without_joins_of_blocks(spark, monkeypatch, name):
+    staged = []
+    for module in (blocking, linkage, passes):
+        monkeypatch.setattr(module, "stage", lambda df, name, *a, real=module.stage: staged.append(name) or real(df, name, *a))
+    file_queries._blocked.cache_clear()
+    assert entry.queries()[name](spark, SF).count()
+    assert "keyed" in staged
+    assert not {"postings", "key-counts", "asked-keys", "met-keys"} & set(staged)
