@@ -108,3 +108,10 @@ def test_files_without_joins_of_blocks(spark, monkeypatch, name):
     assert entry.queries()[name](spark, SF).count()
     assert "keyed" in staged
     assert not {"postings", "key-counts", "asked-keys", "met-keys"} & set(staged)
+
+
+def test_run_over_files_makes_no_ground_truth(spark, monkeypatch):
+    monkeypatch.setattr(file_queries, "entities", type("Entities", (), {"raw": staticmethod(file_queries.entities.raw), "CONFIG": file_queries.entities.CONFIG}))
+    for made in (file_queries._made, file_queries._blocked):
+        made.cache_clear()
+    assert entry.queries()["production_projection"](spark, SF).count() == 1
