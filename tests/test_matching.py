@@ -19,6 +19,7 @@ QUERIES = [
     "ranked_capped",
     "provenance_breakdown",
     "file_diagnostics",
+    "file_sweep",
     "cross_country_block",
     "evidence_tiers",
     "candidate_pairs_defaults",
