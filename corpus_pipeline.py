@@ -6,12 +6,27 @@ next one's docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from kinforge.llm import exact_dedup, near_dedup, packing, quality_classifier, quality_rules
+from kinforge.llm.arrow_text import bound_reads
 from kinforge.llm.staging import stage
 
 
+def _bounded(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage whose texts, and those that are read to write its result, are read few at a time."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_reads(spark)
+        return function(spark, docs, sf_dir)
+
+    return run
+
+
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
@@ -41,6 +56,7 @@ STAGES = [
     ("MinHash near-dedup", drop_near_copies),
     ("best-fit packing", pack),
 ]
+STAGES = [(name, _bounded(function)) for name, function in STAGES]
 
 #: Hashes, a trained model and a packing plan decide; tests hold the stages against brute force instead.
 ORACLE_SQL = None

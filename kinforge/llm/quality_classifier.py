@@ -21,10 +21,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from .arrow_text import map_texts, mix, small_batches, span_hashes, text_buffers, whole_row, word_bounds
 
@@ -93,18 +92,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         of, place, value = features(batch.column("text"))
         ends = np.searchsorted(of, np.arange(batch.num_rows + 1))
         parts = [slice(a, b) if b - a <= MOST_PLACES else a + np.sort(np.argsort(-value[a:b], kind="stable")[:MOST_PLACES]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-        lists = [pa.array([x[p] for p in parts], pa.list_(t)) for x, t in ((place.astype(np.int32), pa.int32()), (value.astype(np.float32), pa.float32()))]
+        lists = [pa.array([x[p].tobytes() for p in parts], pa.binary()) for x in (place.astype(np.int32), value.astype(np.float32))]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "label", "hash")), *lists], names=["id", "label", "hash", "place", "value"])
 
-    schema = StructType([*(texts.schema[c] for c in ("id", "label", "hash")), StructField("place", ArrayType(IntegerType())), StructField("value", ArrayType(FloatType()))])
+    schema = StructType([*(texts.schema[c] for c in ("id", "label", "hash")), StructField("place", BinaryType()), StructField("value", BinaryType())])
     with small_batches(docs.sparkSession):
         once = map_texts(texts, kernel, schema, "text").groupBy("id").agg(F.min_by(F.struct("label", "place", "value"), "hash").alias("row"))
-        rows = once.select("id", "row.*").toArrow()
-    rows = rows.take(pc.sort_indices(rows, sort_keys=[("id", "ascending")]))
-    order = np.random.default_rng(7).permutation(rows.num_rows)
-    place, value, label = (rows.column(c).combine_chunks() for c in ("place", "value", "label"))
-    examples = [(place[i].values.to_numpy(), value[i].values.to_numpy(), label[i].as_py()) for i in order.tolist()]
-    return Ftrl().fit(examples)
+        # a partition at a time: of long texts all places are two hundred megabytes, of which the driver holds one copy
+        rows = sorted(once.select("id", "row.*").toLocalIterator(), key=lambda r: r["id"])
+    order = np.random.default_rng(7).permutation(len(rows))
+    return Ftrl().fit([(np.frombuffer(rows[i]["place"], np.int32), np.frombuffer(rows[i]["value"], np.float32), rows[i]["label"]) for i in order.tolist()])
 
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, chat_format, exact_dedup, html_extract, line_dedup, near_dedup, packing, quality_classifier, quality_rules, url_filter
+from .arrow_text import bound_reads
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_reads(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

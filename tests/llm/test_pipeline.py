@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinforge.llm import quality_classifier, quality_rules, queries
+from kinforge.llm import arrow_text, quality_classifier, quality_rules, queries
 from tests.llm.test_dedup import linked, sets
 from tests.llm.test_text_operators import check_packed, plain_score, verdicts
 from tests.test_queries import plain
@@ -64,6 +64,19 @@ def test_pipeline_on_odd_tables(spark, documents, tmp_path, rows):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
 
 
+def test_long_texts_are_taken_few_at_a_time(spark, monkeypatch):
+    """No array of thousands of texts in a task, and no second copy of what is learnt from on the driver."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, function in corpus_pipeline.STAGES:
+        spark.conf.set(arrow_text.READ_SETTING, 4096)
+        if name == "quality classifier":
+            monkeypatch.setattr(type(docs), "toArrow", lambda self: pytest.fail("all rows at once"))
+            monkeypatch.setattr(type(docs), "collect", lambda self: pytest.fail("all rows at once"))
+        function(spark, docs, SF)
+        monkeypatch.undo()
+        assert int(spark.conf.get(arrow_text.READ_SETTING)) == arrow_text.READ_ROWS, name
+
+
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
