@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from kinforge.operators import evaluation, passes, ranking
+from kinforge.operators import evaluation, lists, passes, ranking
 from kinforge.operators.store import CandidateStore
 from kinforge.plans.blocking import Blocking, CandidateIndex, candidates_for
 from kinforge.schema import PROVENANCE, BlockingConfig
@@ -180,6 +180,50 @@ def test_store_export(spark, tmp_path):
     assert store.pairs().count() == 3
 
 
+ODD = ["", "S2-9", "S2-10", "S2-009", "S2-08", "x", "S3-last", "S2-" + "7" * 20, "a1\n", "12", "0", "S2-9" + "0" * 17, "é3", "٣", None]
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 3])
+def test_store_of_odd_ids(spark, tmp_path, monkeypatch, at_once):
+    """Ids of any form, masks of any bits, pairs that repeat within and between batches: as groups and ranks of all pairs."""
+    monkeypatch.setattr(lists, "AT_ONCE", at_once)
+    rng = random.Random(1)
+    batches = [[(rng.choice(["S1-1", "S1-2", "", None]), rng.choice(["S2", "S3"]), rng.choice(ODD + [f"S2-{rng.randint(0, 10**rng.randint(1, 9)):09}"]), rng.choice([0, 1, 64, 127, 128, 1 << 20, -1, 3])) for _ in range(300)] for _ in range(3)]
+    schema = "s1_id string, source string, cand_id string, provenance int"
+    store, every = CandidateStore(spark, str(tmp_path / "store")), spark.createDataFrame(sum(batches, []), schema)
+    whole = every.groupBy("s1_id", "source", "cand_id").agg(F.bit_or("provenance").alias("provenance"))
+    for batch in batches:
+        store.add(spark.createDataFrame(batch, schema))
+    told = lambda frame: sorted(map(str, frame.collect()))
+    # evidence_tier sees a mask's seven bits and counts all bits
+    for _ in range(2):
+        assert told(store.pairs()) == told(whole)
+        assert told(store.capped(4).select("s1_id", "source", "cand_id", "provenance", "rank")) == told(ranking.rank(whole, 4))
+        monkeypatch.setattr("kinforge.operators.store.COMPACTED", 1000)
+        store.compact()
+    assert store.s1_ids().count() == 4
+
+
+def test_store_takes_lists_of_numbers(spark, tmp_path):
+    """A store of whole blocks has no row for each pair, and cuts the bits of lists as of pairs."""
+    rows = [s2(i, "popular biz", address="1 main lane") for i in range(100, 300)] + [s1(i, "popular biz", address="1 main lane") for i in range(20)]
+    b = block(spark, rows)
+    made = b.lists()
+    assert made.count() == 20
+    assert b.pairs.count() == 4000
+    assert made.agg(F.sum(F.length("gaps") + F.length("masks"))).first()[0] < 3 * 4000
+    store = CandidateStore(spark, str(tmp_path / "store"))
+    for bits in (15, 124):
+        store.add(lists.masked(made, bits))
+    store.compact()
+    assert store.spark.read.parquet(store.path).count() == 20
+    assert sorted(map(tuple, store.pairs().collect())) == sorted(map(tuple, b.pairs.collect()))
+    store.add(spark.createDataFrame([("S1-1", "S2", "S2-100", 128), ("S1-1", "S2", "S2-999", 1)], "s1_id string, source string, cand_id string, provenance int"))
+    again = {r["cand_id"]: r["provenance"] for r in store.pairs().where("s1_id = 'S1-1'").collect()}
+    assert len(again) == 201
+    assert again["S2-100"] == 128 + again["S2-101"]
+
+
 def test_index(spark, tmp_path):
     """An index answers many times, grows, and comes back from its folder."""
     rows = [s2(i, f"popular biz{i}") for i in range(8)] + [s2(20, "rare", country="fr"), s2(21, "none", country="")]
