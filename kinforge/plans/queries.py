@@ -136,7 +136,7 @@ def global_fallback_block(spark, sf_dir):
 
 
 def cross_country_block(spark, sf_dir):
-    return _blocking(spark, sf_dir).cross_country().select("s1_id", "cand_id")
+    return _blocking(spark, sf_dir).cross_country(("s1_id", "cand_id"))
 
 
 def candidate_pairs(spark, sf_dir):

@@ -79,6 +79,46 @@ def test_repeated_ids_and_no_candidates(spark):
     assert alone.pairs.count() == alone.found(1).count() == alone.cross_country().count() == 0
 
 
+def crossed(rows, config, size=50):
+    """Cell, record and candidate of each pair of the pass of other countries, made here."""
+    told = matching._answers(iter(rows.to_batches(max_chunksize=size)), config, frozenset({"cross"}))
+    return [(cell, part.column("id")[i].as_py(), index.ids[j].as_py()) for cell, part, index, row, cand, *_ in told for i, j in zip(row.tolist(), cand.tolist(), strict=True)]
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+@pytest.mark.parametrize("entries", [1 << 19, 5])
+@pytest.mark.parametrize("repeated", ["", "S1", "S2", "S1 S2 S3"])
+def test_other_countries_by_name_are_those_by_record(spark, monkeypatch, entries, repeated, least):
+    monkeypatch.setattr(matching, "ENTRIES", entries)
+    config = BlockingConfig(max_block_size=3, cross_country_min_rare_tokens=least)
+    some = records(spark, 150)
+    copies = some.where("substr(entity_id, 4, 4) % 4 < 2").select("source", F.concat("entity_id", F.lit("-copy")).alias("entity_id"), "name", "address", F.expr("nullif(country, 'fr')").alias("country"))
+    again = some.where(F.col("source").isin(*repeated.split())).select("source", "entity_id", F.reverse("name").alias("name"), "address", F.lit("de").alias("country"))
+    rows = Blocking(some.unionByName(copies).unionByName(again), config)._cells().toArrow()
+    found = crossed(rows, config)
+    monkeypatch.setattr(matching, "index_of", matching.Index)
+    expected = crossed(rows, config)
+    assert sorted(found) == sorted(set(expected))
+    assert len(found) == len(expected) > 100
+
+
+def test_other_countries_are_asked_once_for_each_name(spark, monkeypatch):
+    made, real = [], matching.Index._tokens
+    monkeypatch.setattr(matching.Index, "_tokens", lambda self, *a: made.append(len(out := real(self, *a))) or out)
+    rows = spark.createDataFrame([(f"S{s}", f"S{s}-{i:03}", "alpha beta gamma", "12 elm", "us" if s == 1 else "de") for s in (1, 2) for i in range(200)], RECORD)
+    config = BlockingConfig(max_block_size=3)
+    assert len(set(crossed(Blocking(rows, config)._cells().toArrow(), config, 1000))) == 40_000
+    assert sum(made) < 40
+
+
+def test_other_countries_read_few_keys_and_tell_what_is_asked(spark, monkeypatch):
+    told = []
+    monkeypatch.setattr(matching, "pairs", lambda rows, *a, real=matching.pairs: told.append(rows) or real(rows, *a))
+    assert entry.queries()["cross_country_block"](spark, SF).columns == ["s1_id", "cand_id"]
+    keys = told[0].agg(*[F.sum(F.size(f"k{i}")).alias(f"k{i}") for i in range(5)]).first()
+    assert keys["k0"] and keys["k2"] and keys["k4"] and keys["k1"] == keys["k3"] == 0
+
+
 def test_scores_order_as_evidence_tiers(spark):
     masks = spark.range(128).select(F.col("id").cast("int").alias("provenance"))
     tiers = {r["provenance"]: tuple(r["t"]) for r in masks.select("provenance", F.array(*ranking.evidence_tier()).alias("t")).collect()}
